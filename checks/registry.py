@@ -16,7 +16,7 @@ from lumentide.operators import aggregate, dashboard, envelope, fact, metrics, n
 from lumentide.operators.selection import dedupe_events
 from lumentide.operators.staging import stg_arxiv, stg_gdelt, stg_wikipedia
 from lumentide.plans.daily import run_daily
-from lumentide.session import configure, shared_dir
+from lumentide.session import configure, pin, shared_dir
 from lumentide.sources import tables
 from lumentide.streaming import enrich, sinks, source
 
@@ -49,7 +49,7 @@ def _agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
-    rollup = aggregate.daily_rollup(_fact(spark, sf_dir))
+    rollup = pin(aggregate.daily_rollup(_fact(spark, sf_dir)))
     agg = aggregate.agg_daily_attention(rollup)
     return dashboard.mart_dashboard(
         dashboard.dashboard_tile1(rollup, as_of),
@@ -146,21 +146,30 @@ def _(spark, sf_dir):
     return dedupe_events(inputs.redelivered_events(spark, sf_dir))
 
 
-@register(
-    "to_envelope", "key:s value:s topic:s", "",
-    sql=oracle.query("""
-SELECT topic AS key, CAST(to_json({'event_id': event_id, 'source': source,
-    'event_timestamp': strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') || '+00:00',
-    'topic': topic, 'topic_category': topic_category, 'language': language,
-    'country_code': country_code, 'signal_strength': signal_strength,
-    'medium_type': medium_type,
-    'raw_payload': {'code': raw_payload->>'$.code', 'raw_id': raw_payload->>'$.raw_id'},
-    'ingested_at': strftime(ingested_at, '%Y-%m-%dT%H:%M:%S') || '+00:00'}) AS VARCHAR) AS value,
-  'gdelt_events' AS topic
-FROM news_backfill"""))
-def _(spark, sf_dir):
-    return envelope.to_envelope(
+MESSAGE = (
+    "key:s kafka_topic:s event_id:s source:s event_timestamp:s topic:s topic_category:s "
+    "language:s country_code:s signal_strength:x medium_type:s raw_payload:s ingested_at:s"
+)
+
+
+@register("to_envelope", MESSAGE, "", sql=oracle.query(f"""
+SELECT {columns.select_list(MESSAGE)} FROM (
+  SELECT * REPLACE (strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS event_timestamp,
+      strftime(ingested_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ingested_at,
+      to_json({{'code': raw_payload->>'$.code', 'raw_id': raw_payload->>'$.raw_id'}})
+        AS raw_payload),
+    topic AS key, 'gdelt_events' AS kafka_topic
+  FROM (FROM news_backfill))"""))
+def _(spark, sf_dir):
+    sent = envelope.to_envelope(
         normalise.normalise_gdelt(inputs.gdelt_lines(spark, sf_dir), "backfill", INGEST_TIME))
+    received = "event_id string, source string, event_timestamp string, topic string, " \
+        "topic_category string, language string, country_code string, signal_strength double, " \
+        "medium_type string, raw_payload string, ingested_at string"
+    return sent.select(
+        "key", F.col("topic").alias("kafka_topic"),
+        F.from_json(F.col("value").cast("string"), received).alias("event"),
+    ).select("key", "kafka_topic", "event.*")
 
 
 @register(
@@ -419,7 +428,7 @@ def _(spark, sf_dir):
 
 @register("dashboard_tile2", columns.MART, "tile2")
 def _(spark, sf_dir):
-    rollup = aggregate.daily_rollup(_fact(spark, sf_dir))
+    rollup = pin(aggregate.daily_rollup(_fact(spark, sf_dir)))
     agg = aggregate.agg_daily_attention(rollup)
     return dashboard.dashboard_tile2(
         metrics.synchronicity_score(agg), metrics.shadow_index(agg),

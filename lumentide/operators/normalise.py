@@ -81,13 +81,16 @@ def normalise_wiki_pageviews(
 
 
 def _tab_fields(line: Column) -> Column:
-    """Fields of a tab-separated line. A field that opens with a quote may hold tabs."""
-    fields = F.regexp_extract_all(line, F.lit('(?:^|\t)("(?:[^"]|"")*"[^\t]*|[^\t]*)'), 1)
-    unquoted = F.transform(fields, lambda f: F.when(
-        f.startswith('"'),
-        F.replace(F.regexp_replace(f, '^"((?:[^"]|"")*)"', "$1"), F.lit('""'), F.lit('"')),
-    ).otherwise(f))
-    return F.when(line.contains('"'), unquoted).otherwise(F.split(line, "\t"))
+    """Fields of a tab-separated line; a field that opens with a quote may hold tabs."""
+    quoted = F.regexp_extract_all(line, F.lit('(?:^|\t)("(?:[^"]|"")*"[^\t]*|[^\t]*)'), 1)
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, "\t"))
+
+
+def _unquoted(field: Column) -> Column:
+    """A field without its quotes, doubled quotes inside made single."""
+    inner = F.regexp_replace(field, '^"((?:[^"]|"")*)"', "$1")
+    return F.when(
+        field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
 
 
 def normalise_gdelt(
@@ -102,9 +105,11 @@ def normalise_gdelt(
     if mode not in ("live", "backfill"):
         raise ValueError(f"unknown mode {mode!r}")
     rows = (
-        lines.select(_tab_fields(F.col("line")).alias("f"))
+        # A generator's output is computed once; filters on a plain column of fields
+        # would be pushed down with a copy of the splitting for every mention.
+        lines.select(F.explode(F.array(_tab_fields(F.col("line")))).alias("f"))
         .filter(F.size("f") >= GDELT_MIN_COLUMNS)
-        .select(*[F.col("f")[at].alias(name) for name, at in GDELT_COLUMNS.items()])
+        .select(*[_unquoted(F.get("f", F.lit(at))).alias(name) for name, at in GDELT_COLUMNS.items()])
         .withColumn("ts", parse_compact(F.col("date")))
         .withColumn("tone_value", F.coalesce(strip_ws(F.col("tone")).try_cast("double"), F.lit(0.0)))
     )

@@ -42,6 +42,14 @@ class Layer:
         return long_enough if self.withdrawn is None else long_enough & ~topic.like(self.withdrawn)
 
 
+def staging_start(as_of: dt.date) -> dt.date:
+    """First day staging accepts: five years back, 28 February for a leap day."""
+    try:
+        return as_of.replace(year=as_of.year - 5)
+    except ValueError:
+        return as_of.replace(year=as_of.year - 5, day=28)
+
+
 def _layers() -> tuple[Layer, Layer, Layer]:
     signal = F.col("signal_strength")
     country = F.upper(strip_ws(F.col("country_code")))

@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumentide.operators.aggregate import agg_daily_attention, daily_rollup
 from lumentide.operators.dashboard import dashboard_tile1, dashboard_tile2, mart_dashboard
@@ -20,18 +20,23 @@ from lumentide.operators.metrics import (
     consciousness_level_daily, shadow_index, source_signals, synchronicity_score,
 )
 from lumentide.operators.quality import assert_quality, quality_metrics
+from lumentide.operators.staging import staging_start
 from lumentide.session import pin
-from lumentide.sources.tables import materialise
-
-# Clustering of the derived tables; all are partitioned by event_date.
-CLUSTERING: Mapping[str, tuple[str, ...]] = {
-    "fact_attention_events": ("source", "topic_category"),
-    "daily_rollup": ("topic_category", "source"),
-    "agg_daily_attention": ("topic_category", "source"),
-    "synchronicity_score": ("topic_category",),
-    "shadow_index": ("topic_category",),
-    "consciousness_level": (),
-    "mart_dashboard": ("topic_category",),
+from lumentide.sources.tables import (
+    drop_partitions_before, materialise, read_table, replace_partitions,
+)
+
+# Partition column and clustering of the tables. The tables above the rollup have a
+# few rows per day: as one directory per day they would be thousands of tiny files,
+# so they are sorted by date instead and skipped through by row group.
+LAYOUT: Mapping[str, tuple[str | None, tuple[str, ...]]] = {
+    "fact_attention_events": ("event_date", ("source", "topic_category")),
+    "daily_rollup": ("event_date", ("topic_category", "source")),
+    "agg_daily_attention": (None, ("event_date", "topic_category", "source")),
+    "synchronicity_score": (None, ("event_date", "topic_category")),
+    "shadow_index": (None, ("event_date", "topic_category")),
+    "consciousness_level": (None, ("event_date",)),
+    "mart_dashboard": (None, ("event_date", "topic_category")),
 }
 
 
@@ -71,17 +76,55 @@ def run_daily(raw: DataFrame, as_of: dt.date | str | None = None) -> DailyRun:
         raw, as_of, lambda name, df: pin(df, name) if name == "daily_rollup" else df)
 
 
+def _path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}"
+
+
 def rebuild_tables(
-    raw: DataFrame, root: str, as_of: dt.date | str | None = None,
+    raw: DataFrame, root: str, as_of: dt.date | str | None = None, raw_by_date: bool = True,
 ) -> DailyRun:
-    """All tables written below `root`, each in full and from the ones before."""
-    return _build(
-        raw, as_of, lambda name, df: materialise(
-            df, f"{root.rstrip('/')}/{name}", "event_date", CLUSTERING[name]))
+    """All tables written below `root`, each in full and from the ones before.
+
+    The fact table needs no shuffle when the raw table it is read from is
+    partitioned by date, as it should be; pass `raw_by_date=False` otherwise.
+    """
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return materialise(
+            df, _path(root, name), *LAYOUT[name],
+            in_place=raw_by_date and name == "fact_attention_events")
+
+    return _build(raw, as_of, keep)
+
+
+def refresh_tables(
+    raw: DataFrame, root: str, as_of: dt.date, since: dt.date, raw_by_date: bool = True,
+) -> DailyRun:
+    """Bring the tables of an earlier run up to date, reading raw events from `since` on.
+
+    A day of the fact table and of the rollup depends on that day's events alone, so
+    only the days from `since` are rebuilt; choose it early enough for late events.
+    What lies beyond the staging window is dropped. The small tables are rebuilt in
+    full from the whole rollup. The result equals a full rebuild as long as no older
+    day has changed.
+    """
+    spark = raw.sparkSession
+    incremental = ("fact_attention_events", "daily_rollup")
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = _path(root, name)
+        if name not in incremental:
+            return materialise(df, path, *LAYOUT[name])
+        kept = replace_partitions(
+            df.filter(F.col("event_date") >= F.lit(since)), path, *LAYOUT[name],
+            in_place=raw_by_date and name == "fact_attention_events")
+        drop_partitions_before(spark, path, staging_start(as_of))
+        return read_table(spark, path, kept)
+
+    return _build(raw, as_of, keep)
 
 
 def read_daily(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table written by `rebuild_tables`."""
-    if name not in CLUSTERING:
+    if name not in LAYOUT:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    return spark.read.parquet(_path(root, name))

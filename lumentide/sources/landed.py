@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lumentide.schemas import ARXIV_ENTRY, PAGEVIEW, WIKI_CHANGE
+from lumentide.schemas import ARXIV_ENTRY, LAKE_EVENTS, PAGEVIEW, WIKI_CHANGE
 
 
 def read_wiki_changes(spark: SparkSession, path: str) -> DataFrame:
@@ -41,8 +41,6 @@ def read_lake(spark: SparkSession, path: str, merge_schema: bool = False) -> Dat
     planning and columns older files lack are NULL. `merge_schema` instead finds
     columns nobody declared, at the price of reading all footers.
     """
-    from lumentide.schemas import LAKE_EVENTS
-
     if merge_schema:
         return spark.read.option("mergeSchema", True).parquet(path)
     return spark.read.schema(LAKE_EVENTS).parquet(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumentide.functions import as_date
 from lumentide.schemas import RAW_CLUSTERING, RAW_EVENTS, RETENTION_DAYS
@@ -18,23 +18,48 @@ from lumentide.sources.landed import read_lake
 
 
 def laid_out(
-    df: DataFrame, partition_by: str = "event_date", cluster_by: Sequence[str] = (),
+    df: DataFrame, partition_by: str | None = "event_date", cluster_by: Sequence[str] = (),
+    in_place: bool = False,
 ) -> DataFrame:
-    """Rows balanced over tasks by partition value and sorted for row-group skipping."""
-    return df.hint("rebalance", F.col(partition_by)).sortWithinPartitions(partition_by, *cluster_by)
+    """Rows balanced over tasks by partition value and sorted for row-group skipping.
 
+    Without a partition column the rows are merely balanced and sorted.
 
-def _writer(
-    df: DataFrame, partition_by: str, cluster_by: Sequence[str], mode: str,
-) -> DataFrameWriter:
-    return laid_out(df, partition_by, cluster_by).write.mode(mode).partitionBy(partition_by)
+    `in_place` leaves rows in the tasks they are in. That saves the shuffle where
+    the input is read from a table partitioned the same way, so that a task sees
+    few partition values as it is.
+    """
+    keys = [partition_by] if partition_by else []
+    placed = df if in_place else df.hint("rebalance", *map(F.col, keys))
+    order = [*keys, *cluster_by]
+    return placed.sortWithinPartitions(*order) if order else placed
+
+
+def _write(
+    df: DataFrame, path: str, mode: str, partition_by: str | None = "event_date",
+    cluster_by: Sequence[str] = RAW_CLUSTERING, in_place: bool = False, overwrite: str = "static",
+) -> None:
+    writer = laid_out(df, partition_by, cluster_by, in_place).write.mode(mode)
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", overwrite).partitionBy(partition_by)
+    writer.parquet(path)
 
 
 def materialise(
-    df: DataFrame, path: str, partition_by: str = "event_date", cluster_by: Sequence[str] = (),
+    df: DataFrame, path: str, partition_by: str | None = "event_date",
+    cluster_by: Sequence[str] = (), in_place: bool = False,
 ) -> DataFrame:
     """Rebuild a derived table in full and return it as read back."""
-    _writer(df, partition_by, cluster_by, "overwrite").parquet(path)
+    _write(df, path, "overwrite", partition_by, cluster_by, in_place)
+    return read_table(df.sparkSession, path, df)
+
+
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: str = "event_date", cluster_by: Sequence[str] = (),
+    in_place: bool = False,
+) -> DataFrame:
+    """Rebuild only the partitions `df` has rows for and return the whole table."""
+    _write(df, path, "overwrite", partition_by, cluster_by, in_place, "dynamic")
     return read_table(df.sparkSession, path, df)
 
 
@@ -60,13 +85,13 @@ def load_lake_to_raw(
 ) -> DataFrame:
     """Append the lake's files to the raw table and return the table."""
     events = as_raw_events(read_lake(spark, lake_path, merge_schema))
-    _writer(events, "event_date", RAW_CLUSTERING, "append").parquet(raw_path)
+    _write(events, raw_path, "append")
     return read_raw(spark, raw_path)
 
 
 def append_backfill(events: DataFrame, raw_path: str) -> DataFrame:
     """Append normalised history to the raw table and return the table."""
-    _writer(as_raw_events(events), "event_date", RAW_CLUSTERING, "append").parquet(raw_path)
+    _write(as_raw_events(events), raw_path, "append")
     return read_raw(events.sparkSession, raw_path)
 
 
@@ -80,13 +105,16 @@ def retain(
 def expire_partitions(
     spark: SparkSession, path: str, as_of: dt.date, days: int = RETENTION_DAYS,
 ) -> list[str]:
-    """Drop the table's partitions older than the retention and name them.
+    """Drop the table's partitions older than the retention and name them."""
+    return drop_partitions_before(spark, path, as_of - dt.timedelta(days=days))
+
+
+def drop_partitions_before(spark: SparkSession, path: str, oldest: dt.date) -> list[str]:
+    """Drop the partitions of days before `oldest` and name them.
 
     A metadata operation: it deletes directories and reads or rewrites no rows.
     """
-    oldest = as_of - dt.timedelta(days=days)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     dropped = []
     for status in fs.listStatus(root):

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from lumentide.schemas import RAW_CLUSTERING
+from lumentide.sources.tables import laid_out
 
 TRIGGER = "5 minutes"
 
@@ -41,11 +42,9 @@ def write_warehouse(
     with an empty checkpoint counts its batches from zero and needs a new name.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import functions as F
-
         (
-            batch.withColumn("batch", F.lit(f"{stream}-{batch_id}"))
-            .sortWithinPartitions("event_date", *RAW_CLUSTERING)
+            laid_out(batch, "event_date", RAW_CLUSTERING)
+            .withColumn("batch", F.lit(f"{stream}-{batch_id}"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("event_date", "batch").parquet(path)
         )
