@@ -20,6 +20,20 @@ def strip_ws(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
+def strip_text(text: Column) -> Column:
+    """The same as `strip_ws`, faster on longer texts but more generated code.
+
+    btrim() with a character set is an order of magnitude slower than trim(). Here it
+    only sees texts that, without their spaces, begin or end with something else than
+    printable ASCII.
+    """
+    bare = F.trim(text)
+    last = F.substring(bare, -1, 1)
+    # Strings compare by code point.
+    plain = (bare >= "!") & (bare < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(plain, bare).otherwise(strip_ws(text))
+
+
 def is_blank(text: Column) -> Column:
     """NULL and the empty string count the same."""
     return text.isNull() | (text == "")

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumentide.functions import as_date, bands, strip_ws
+from lumentide.functions import as_date, bands, strip_text, strip_ws
 from lumentide.schemas import WIKI_SOURCES
 
 STAGED_COLUMNS = (
@@ -24,7 +24,7 @@ STAGED_COLUMNS = (
 
 @dataclass(frozen=True)
 class Layer:
-    """What one layer does to the raw columns."""
+    """What one layer does to the raw columns, texts being stripped of white space."""
 
     sources: tuple[str, ...]
     topic_longer_than: int
@@ -52,11 +52,11 @@ def staging_start(as_of: dt.date) -> dt.date:
 
 def _layers() -> tuple[Layer, Layer, Layer]:
     signal = F.col("signal_strength")
-    country = F.upper(strip_ws(F.col("country_code")))
+    country = F.upper("country_code")
     wiki = Layer(
         sources=WIKI_SOURCES,
         topic_longer_than=2,
-        language=F.lower(strip_ws(F.col("language"))),
+        language=F.lower("language"),
         country_code=country,
         medium_type=F.lower(strip_ws(F.col("medium_type"))),
         intensity=F.when(
@@ -105,14 +105,19 @@ def _stage(raw: DataFrame, layers: tuple[Layer, ...], as_of: dt.date | str | Non
         & F.col("event_date").between(F.add_months(day, -60), day)
         & F.col("signal_strength").between(0.0, 1.0)
     )
-    topic = strip_ws(F.col("topic"))
     return (
-        candidates.select(
+        candidates.withColumns({
+            "topic": strip_text(F.col("topic")),
+            "topic_category": strip_text(F.col("topic_category")),
+            "language": strip_ws(F.col("language")),
+            "country_code": strip_ws(F.col("country_code")),
+        })
+        .select(
             "event_id", "source",
             F.col("event_timestamp").cast("timestamp").alias("event_timestamp"),
             F.col("event_date").cast("date").alias("event_date"),
-            topic.alias("topic"),
-            F.lower(strip_ws(F.col("topic_category"))).alias("topic_category"),
+            "topic",
+            F.lower("topic_category").alias("topic_category"),
             of_layer(lambda x: x.language).alias("language"),
             of_layer(lambda x: x.country_code).alias("country_code"),
             F.col("signal_strength").cast("double").alias("signal_strength"),

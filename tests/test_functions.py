@@ -21,10 +21,13 @@ def column(spark, values, kind, fn):
     return [r[0] for r in df.orderBy("i").select(fn(F.col("v"))).collect()]
 
 
-def test_strip_ws(spark):
-    got = column(spark, [" a b ", "\t\n x\r", " y　", " ", "", None], "string",
-                 L.strip_ws)
-    assert got == ["a b", "x", "y", "", "", None]
+@pytest.mark.parametrize("strip", [L.strip_ws, L.strip_text])
+def test_stripping(spark, strip):
+    texts = {
+        " a b ": "a b", "\t\n x\r": "x", "\u2003y\u3000": "y", "\xa0": "", "": "", " ": "",
+        " \t z \n ": "z", "é ": "é", "~": "~", "!\x85": "!", "\u2028a": "a", "a\u200b": "a\u200b",
+    }
+    assert column(spark, [*texts, None], "string", strip) == [*texts.values(), None]
 
 
 def test_classify_topic(spark):

@@ -112,6 +112,19 @@ def test_fact_reads_the_raw_table_once_with_pushed_filters(spark, sf_dir, plan):
     assert "Exchange" not in text
 
 
+def test_generated_code_can_be_compiled(spark, sf_dir):
+    """The JVM leaves methods of more than 8,000 bytes of byte code uncompiled."""
+    debug = getattr(
+        getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    for df in (fact.fact_from_raw(raw_table(spark, sf_dir), AS_OF),
+               enrich.parse_and_enrich(inputs.messages(spark, sf_dir)),
+               normalise.normalise_gdelt(inputs.gdelt_lines(spark, sf_dir)),
+               normalise.normalise_wiki_changes(inputs.wiki_changes(spark, sf_dir))):
+        stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        for i in range(stages.size()):
+            assert stages.apply(i)._3().maxMethodCodeSize() < 8000
+
+
 def test_rollup_prunes_columns_and_combines_before_its_only_shuffle(spark, sf_dir, plan):
     text = plan(aggregate.daily_rollup(fact.fact_from_raw(raw_table(spark, sf_dir), AS_OF)))
     schema = next(line for line in text.splitlines() if line.startswith("ReadSchema"))
