@@ -19,7 +19,7 @@ TOPIC_OF_SOURCE = {
 
 def to_envelope(events: DataFrame) -> DataFrame:
     """Events as messages: `key` (what is attended to; for papers the category),
-    `value` (JSON) and `topic`."""
+    `value` (JSON) and `topic`. A payload that is no JSON is sent empty."""
     key = F.when(
         F.col("source") == "arxiv", F.get_json_object("raw_payload", "$.category")
     ).otherwise(F.col("topic"))
@@ -29,7 +29,7 @@ def to_envelope(events: DataFrame) -> DataFrame:
         "event_id", "source",
         iso_utc(F.col("event_timestamp")).alias("event_timestamp"),
         "topic", "topic_category", "language", "country_code", "signal_strength", "medium_type",
-        F.parse_json(F.coalesce("raw_payload", F.lit("{}"))).alias("raw_payload"),
+        F.coalesce(F.try_parse_json("raw_payload"), F.parse_json(F.lit("{}"))).alias("raw_payload"),
         iso_utc(F.col("ingested_at")).alias("ingested_at"),
     )
     value = F.to_json(body, {"ignoreNullFields": "false"})

@@ -36,7 +36,8 @@ def dedupe_events(
     Unlike a bounded memory of recent ids this forgets nothing. Each input
     partition drops its own copies before the shuffle, so an id delivered very
     often costs one row per partition. Equal delivery times are settled by a hash
-    of the whole row, which keeps the result independent of the row order.
+    of the whole row, which keeps the result independent of the row order. Rows
+    without an id count as copies of one another, as in dropDuplicates.
     """
     present = [F.col(c).asc_nulls_last() for c in first_by if c in df.columns]
     return _keep_first(df, keys, [*present, F.xxhash64(*df.columns)], 1)
