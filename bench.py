@@ -50,7 +50,8 @@ def enrich_with_udfs(messages: DataFrame) -> DataFrame:
     def dominance(medium, signal):
         if not medium:
             return "unknown"
-        cut = {"institutional_media": (0.6, "media_led"), "formal_knowledge": (0.4, "knowledge_led"),
+        cut = {"institutional_media": (0.6, "media_led"),
+               "formal_knowledge": (0.4, "knowledge_led"),
                "collective_memory": (-1.0, "memory_led")}.get(medium, (2.0, ""))
         return cut[1] if (signal or 0.0) > cut[0] else "ambient"
 

@@ -109,9 +109,11 @@ def normalise_gdelt(
         # would be pushed down with a copy of the splitting for every mention.
         lines.select(F.explode(F.array(_tab_fields(F.col("line")))).alias("f"))
         .filter(F.size("f") >= GDELT_MIN_COLUMNS)
-        .select(*[_unquoted(F.get("f", F.lit(at))).alias(name) for name, at in GDELT_COLUMNS.items()])
+        .select(*[
+            _unquoted(F.get("f", F.lit(at))).alias(name) for name, at in GDELT_COLUMNS.items()])
         .withColumn("ts", parse_compact(F.col("date")))
-        .withColumn("tone_value", F.coalesce(strip_ws(F.col("tone")).try_cast("double"), F.lit(0.0)))
+        .withColumn(
+            "tone_value", F.coalesce(strip_ws(F.col("tone")).try_cast("double"), F.lit(0.0)))
     )
     actor1, actor2 = (F.nullif(F.col(c), F.lit("")) for c in ("actor1", "actor2"))
     if mode == "live":

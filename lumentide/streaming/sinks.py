@@ -31,20 +31,23 @@ def write_lake(
 
 
 def write_warehouse(
-    events: DataFrame, path: str, checkpoint: str, stream: str = "live",
+    events: DataFrame, path: str, checkpoint: str, stream: str | None = None,
     trigger: str | None = TRIGGER,
 ) -> StreamingQuery:
     """Append to the raw table, clustered within each date.
 
     A micro-batch may be delivered again after a failure. Its rows live in
     partitions named after the stream and the batch, which a repeated delivery
-    overwrites, so the table holds every batch once. A stream that starts over
-    with an empty checkpoint counts its batches from zero and needs a new name.
+    overwrites, so the table holds every batch once. The stream's name is by default
+    the query's id, which lives in the checkpoint: a query started over with an empty
+    checkpoint counts its batches from zero but gets a new id and overwrites nothing.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        context = batch.sparkSession.sparkContext
+        name = stream or context.getLocalProperty("sql.streaming.queryId")
         (
             laid_out(batch, "event_date", RAW_CLUSTERING)
-            .withColumn("batch", F.lit(f"{stream}-{batch_id}"))
+            .withColumn("batch", F.lit(f"{name}-{batch_id}"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("event_date", "batch").parquet(path)
         )
@@ -58,7 +61,7 @@ def write_warehouse(
 
 def run_dual_sink(
     events: DataFrame, lake_path: str, warehouse_path: str, checkpoints: str,
-    stream: str = "live", trigger: str | None = TRIGGER,
+    stream: str | None = None, trigger: str | None = TRIGGER,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Both sinks as independent queries; one failing leaves the other's progress alone."""
     lake = write_lake(events, lake_path, f"{checkpoints}/lake", trigger)

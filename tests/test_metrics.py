@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import columns, inputs
 from lumentide.operators import aggregate, dashboard, fact, metrics, quality, staging
+from lumentide.schemas import SOURCES
 
 DAY = dt.date(2024, 1, 10)
 
@@ -104,10 +105,10 @@ def daily(spark, rows):
 
 def test_synchronicity(spark):
     agg = daily(spark, [
-        *[(0, "full", s, "m", 1.0, 1) for s in ("wiki_pageviews", "wiki_changes", "gdelt", "arxiv")],
+        *[(0, "full", s, "m", 1.0, 1) for s in SOURCES],
         (0, "lone", "arxiv", "m", 0.8, 2),
         (0, "max", "gdelt", "ambient", 0.1, 1), (0, "max", "gdelt", "media_led", 0.4, 1),
-        *[(0, "edge", s, "m", 0.2, 1) for s in ("wiki_pageviews", "wiki_changes", "gdelt", "arxiv")],
+        *[(0, "edge", s, "m", 0.2, 1) for s in SOURCES],
     ])
     got = {r["topic_category"]: r for r in metrics.synchronicity_score(agg).collect()}
     assert (got["full"]["synchronicity_score"], got["full"]["is_kairos_event"]) == (1.0, True)
@@ -231,4 +232,5 @@ def test_failed_checks_are_raised(spark):
         [(5, 0, 3)], "yesterday_rows int, invalid_sync_scores int, active_categories int")
     with pytest.raises(quality.QualityError, match="active_categories = 3"):
         quality.raise_on_failure(quality.assert_quality(found))
-    quality.raise_on_failure(quality.assert_quality(found.withColumn("active_categories", F.lit(4))))
+    enough = found.withColumn("active_categories", F.lit(4))
+    quality.raise_on_failure(quality.assert_quality(enough))
