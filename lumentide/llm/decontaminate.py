@@ -122,8 +122,9 @@ def decontaminate(
     found = None
     # The outer generator: an inner one gets a filter on its array's size, which would be
     # pushed down to the scan with a copy of the hashing for each mention of the array.
-    # Windows are verified as joined words: a lambda would take the join out of compiled
-    # code, which then writes the whole array of words for each window.
+    # Hits are verified in a projection, where a false one becomes NULL and is not collected:
+    # a filter would become the join's condition and take the join out of compiled code,
+    # which then writes the whole array of words for each window.
     for k in sorted(lengths):
         known = with_windows(
             windows.filter(F.col("_n") == k).drop("_n"), "_window", k, "_all"
@@ -131,14 +132,15 @@ def decontaminate(
                  F.array_join("_window", " ").alias("_window"))
         if size <= broadcast_bytes:
             known = F.broadcast(known)
+        same = ascii_lower(F.array_join(
+            F.slice("_words", F.col("_at") + 1, F.lit(k)), " ")) == F.col("_window")
         hits = (
             with_windows(source, "_words", k, "_all")
             .select("_doc", "_text_hash", "_words", F.posexplode_outer("_all").alias("_at", "_hash"))
             .join(known, "_hash")
-            .filter(ascii_lower(F.array_join(
-                F.slice("_words", F.col("_at") + 1, F.lit(k)), " ")) == F.col("_window"))
-            .select("_doc", "_text_hash", "_items", F.struct(
-                F.col("_at").alias("at"), (F.col("_at") + k).alias("end")).alias("_span")))
+            .select("_doc", "_text_hash", F.when(same, F.col("_items")).alias("_items"), F.when(
+                same, F.struct(F.col("_at").alias("at"), (F.col("_at") + k).alias("end"))
+            ).alias("_span")))
         found = hits if found is None else found.unionByName(hits)
     base = docs.withColumn("_text_hash", F.xxhash64(text_col)).withColumn(
         "n_words", F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORD)).cast("bigint"))
