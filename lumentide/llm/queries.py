@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumentide.llm.common import table
 from lumentide.llm.decontaminate import decontaminate
 from lumentide.llm.lines import line_dedup
-from lumentide.session import configure
+from lumentide.llm.simhash import simhash_dedup
+from lumentide.llm.tokens import read_tokens, write_tokens
+from lumentide.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,3 +89,17 @@ def _(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op1_simhash")
+def _(spark, sf_dir):
+    return simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op9_token_planes")
+def _(spark, sf_dir):
+    path = shared_dir(spark, "tokens")
+    write_tokens(
+        table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_tokens(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
