@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lumentide.llm.common import ascii_lower
+from lumentide.llm.windows import with_windows
 
 #: Words are runs of digits, letters and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -16,47 +17,6 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
-def _pairs(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
-
-
-def _from(array: Column, start: int) -> Column:
-    """The array without its first `start` elements."""
-    return F.slice(array, F.lit(start + 1), F.greatest(F.size(array) - start, F.lit(0)))
-
-
-def _without_tail(hashes: Column, words: Column, n: int) -> Column:
-    """The hashes of full windows only (`zip_with` pads the shorter side with NULL)."""
-    return F.slice(hashes, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
-
-
-def with_windows(df: DataFrame, words: str, n: int, name: str) -> DataFrame:
-    """Add the 64-bit hashes of all windows of `n` words.
-
-    Hashes of 1, 2, 4 … words are combined pairwise, each in one pass over the array, so
-    a window costs a few hashes rather than a copy of its words. They use the Unicode
-    lower case, which never tells apart words that A-Z alone makes equal; hits are
-    compared word by word afterwards.
-    """
-    df = df.withColumn("_w1", F.transform(words, lambda w: F.xxhash64(F.lower(w))))
-    made, size, rest = None, 1, n
-    while rest:
-        if rest & 1:
-            at = F.col(f"_w{size}")
-            if made is None:
-                df = df.withColumn("_made", at)
-            else:
-                df = df.withColumn("_made", _pairs(F.col("_made"), _from(at, made)))
-            made = (made or 0) + size
-        rest >>= 1
-        if rest:
-            at = F.col(f"_w{size}")
-            df = df.withColumn(f"_w{2 * size}", _pairs(at, _from(at, size)))
-            size *= 2
-    return df.withColumn(name, _without_tail(F.col("_made"), F.col(words), n)).drop(
-        "_made", *[f"_w{1 << k}" for k in range(n.bit_length())])
-
-
 def benchmark_windows(benchmark: DataFrame, n: int, item_col: str, text_col: str) -> DataFrame:
     """Distinct windows of `n` words: `_hash`, `_window` (the words), `_items`, `_n`.
 
@@ -104,8 +64,9 @@ def decontaminate(
 
     The hash set of benchmark windows is broadcast if the benchmark's texts hold at most
     `broadcast_bytes` (measured first, by one aggregate); a larger one is joined by
-    shuffling. Training windows are scanned as arrays of 64-bit hashes, and every hit is
-    verified word by word, so hash collisions change nothing. Only hits are shuffled, by
+    shuffling. Training windows are scanned as arrays of 64-bit hashes of lower-cased words
+    (Unicode's lower case, which tells no words apart that A-Z alone makes equal), and every
+    hit is verified word by word, so hash collisions change nothing. Only hits are shuffled, by
     document, besides the texts on their way to the result.
 
     NULL and empty texts have no words and no hits; a benchmark without words hits
@@ -127,7 +88,7 @@ def decontaminate(
     # which then writes the whole array of words for each window.
     for k in sorted(lengths):
         known = with_windows(
-            windows.filter(F.col("_n") == k).drop("_n"), "_window", k, "_all"
+            windows.filter(F.col("_n") == k).drop("_n"), "_window", k, "_all", F.lower
         ).select(F.element_at("_all", 1).alias("_hash"), "_items",
                  F.array_join("_window", " ").alias("_window"))
         if size <= broadcast_bytes:
@@ -135,7 +96,7 @@ def decontaminate(
         same = ascii_lower(F.array_join(
             F.slice("_words", F.col("_at") + 1, F.lit(k)), " ")) == F.col("_window")
         hits = (
-            with_windows(source, "_words", k, "_all")
+            with_windows(source, "_words", k, "_all", F.lower)
             .select("_doc", "_text_hash", "_words", F.posexplode_outer("_all").alias("_at", "_hash"))
             .join(known, "_hash")
             .select("_doc", "_text_hash", F.when(same, F.col("_items")).alias("_items"), F.when(

@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lumentide.llm.common import table
+from lumentide.llm.common import table, written
 from lumentide.llm.decontaminate import decontaminate
 from lumentide.llm.lines import line_dedup
+from lumentide.llm.quality import adaptive_bounds, judged, with_base_measures
 from lumentide.llm.simhash import simhash_dedup
 from lumentide.llm.tokens import read_tokens, write_tokens
 from lumentide.session import configure, shared_dir
@@ -103,3 +104,77 @@ def _(spark, sf_dir):
         table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_tokens(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+_OP8_WORDS = (
+    "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), "
+    "lambda w: w <> '')")
+_OP8_BUCKET = "(x >> greatest(length(bin(x)) - 8, 0)) << greatest(length(bin(x)) - 8, 0)"
+
+
+@register("op8_quality_rules", f"""
+WITH texts AS (
+  SELECT doc_id, lang, source, {_OP8_WORDS} AS words, coalesce(text, '') AS body,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+grams AS (
+  SELECT doc_id, pos, array_to_string(words[pos : pos + 4], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS pos FROM texts
+        WHERE len(words) >= 5)),
+doubles AS (SELECT doc_id, pos FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
+repeats AS (
+  SELECT doc_id, count(*) AS n FROM (
+    SELECT DISTINCT doc_id, unnest(range(pos, pos + 5)) AS pos FROM doubles) GROUP BY 1),
+base AS (
+  SELECT doc_id, lang, source, len(words) AS n_words,
+    length(array_to_string(words, '')) AS word_chars,
+    length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words
+  FROM texts LEFT JOIN repeats USING (doc_id)),
+measured AS (
+  SELECT doc_id, lang, source, measure, x, {_OP8_BUCKET} AS bucket, least_spread, both_sides
+  FROM (
+    SELECT doc_id, lang, source, 'word_length' AS measure, 1000 * word_chars // n_words AS x,
+      250 AS least_spread, true AS both_sides FROM base WHERE n_words > 0
+    UNION ALL SELECT doc_id, lang, source, 'symbols', 1000 * n_symbols // n_words, 50, false
+      FROM base WHERE n_words > 0
+    UNION ALL SELECT doc_id, lang, source, 'dup_lines', 1000 * n_dup_lines // n_lines, 100, false
+      FROM base WHERE n_lines > 0
+    UNION ALL SELECT doc_id, lang, source, 'repeats', 1000 * n_repeat_words // n_words, 50, false
+      FROM base WHERE n_words > 0)),
+levels AS (
+  SELECT lang, source, measure, 0 AS level, bucket FROM measured
+  UNION ALL SELECT lang, NULL, measure, 1, bucket FROM measured
+  UNION ALL SELECT NULL, NULL, measure, 2, bucket FROM measured),
+quartiles AS (
+  SELECT lang, source, measure, level, count(*) AS total,
+    quantile_disc(bucket, 0.25) AS q25, quantile_disc(bucket, 0.75) AS q75
+  FROM levels GROUP BY ALL),
+picked AS (
+  SELECT m.*, CASE WHEN a.total >= 200 THEN a.q25 WHEN b.total >= 200 THEN b.q25 ELSE c.q25 END AS q25,
+    CASE WHEN a.total >= 200 THEN a.q75 WHEN b.total >= 200 THEN b.q75 ELSE c.q75 END AS q75
+  FROM measured m
+  JOIN quartiles a ON a.level = 0 AND a.measure = m.measure
+    AND a.lang IS NOT DISTINCT FROM m.lang AND a.source IS NOT DISTINCT FROM m.source
+  JOIN quartiles b ON b.level = 1 AND b.measure = m.measure AND b.lang IS NOT DISTINCT FROM m.lang
+  JOIN quartiles c ON c.level = 2 AND c.measure = m.measure),
+outside AS (
+  SELECT DISTINCT doc_id FROM picked
+  WHERE x > q75 + 3 * greatest(q75 - q25, least_spread)
+    OR both_sides AND x < q25 - 3 * greatest(q75 - q25, least_spread))
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+    AND doc_id NOT IN (SELECT doc_id FROM outside) AS kept
+FROM base""")
+def _(spark, sf_dir):
+    # Stored once: the texts are scanned a single time, for the sketches and the verdict.
+    measured = written(
+        with_base_measures(table(spark, sf_dir, "documents").select(
+            "doc_id", "text", "lang", "source")).drop("text"), "measures")
+    return judged(measured, adaptive_bounds(measured)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
