@@ -12,6 +12,7 @@ from lumentide.llm.decontaminate import decontaminate
 from lumentide.llm.lines import line_dedup
 from lumentide.llm.quality import adaptive_bounds, judged, with_base_measures
 from lumentide.llm.simhash import simhash_dedup
+from lumentide.llm.suffixes import substring_dedup
 from lumentide.llm.tokens import read_tokens, write_tokens
 from lumentide.session import configure, shared_dir
 
@@ -178,3 +179,9 @@ def _(spark, sf_dir):
     return judged(measured, adaptive_bounds(measured)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+@register("op10_suffix_dedup")
+def _(spark, sf_dir):
+    return substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
