@@ -14,6 +14,7 @@ from lumentide.llm.quality import adaptive_bounds, judged, with_base_measures
 from lumentide.llm.simhash import simhash_dedup
 from lumentide.llm.suffixes import substring_dedup
 from lumentide.llm.tokens import read_tokens, write_tokens
+from lumentide.llm.toxicity import fit, held_out, toxicity
 from lumentide.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,3 +186,12 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     return substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op4_toxicity")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
+        F.size("passages").cast("bigint").alias("n_passages"))
