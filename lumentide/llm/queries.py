@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumentide.llm.common import table, written
 from lumentide.llm.decontaminate import decontaminate
+from lumentide.llm.licences import known_licences, license_scan
 from lumentide.llm.lines import line_dedup
+from lumentide.llm.pieces import decode_pieces, encode_pieces
 from lumentide.llm.quality import adaptive_bounds, judged, with_base_measures
 from lumentide.llm.simhash import simhash_dedup
+from lumentide.llm.spans import sentence_span_dedup
 from lumentide.llm.suffixes import substring_dedup
 from lumentide.llm.tokens import read_tokens, write_tokens
 from lumentide.llm.toxicity import fit, held_out, toxicity
@@ -195,3 +198,26 @@ def _(spark, sf_dir):
     return toxicity(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
         F.size("passages").cast("bigint").alias("n_passages"))
+
+
+@register("op7_sentencepiece")
+def _(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = decode_pieces(
+        encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"),
+        F.col("n_best.score").alias("scores"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@register("op3_sentence_spans")
+def _(spark, sf_dir):
+    return sentence_span_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_sentences", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op6_license_scan")
+def _(spark, sf_dir):
+    return license_scan(table(spark, sf_dir, "documents"), known_licences(spark))
