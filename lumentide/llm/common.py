@@ -48,6 +48,21 @@ def with_arrow_columns(
     return df.mapInArrow(run, schema)
 
 
+def on_own_columns(
+    docs: DataFrame, apply: Callable[[DataFrame], DataFrame], keep: Sequence[str] = ("doc_id", "text"),
+    add: Sequence[str] = (),
+) -> DataFrame:
+    """Apply an operator that adds columns, and return the columns of `docs` and those in `add`.
+
+    Columns other than `keep` are renamed meanwhile, so that none is replaced by what the
+    operator adds, whatever their names, but by those in `add`.
+    """
+    own = [c if c in keep else f"_column_{i}" for i, c in enumerate(docs.columns)]
+    made = apply(docs.toDF(*own))
+    return made.select(
+        *[F.col(o).alias(c) for o, c in zip(own, docs.columns) if c not in add], *add)
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
     """The texts' bytes; NULL is the empty text."""
     return [b if b is not None else b"" for b in texts.cast(pa.binary()).to_pylist()]
