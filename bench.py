@@ -2,7 +2,8 @@
 
 Every query is run once to warm up and then five times; the median counts. Results
 go to Spark's noop sink, so that all rows and columns are computed and none leave
-the executors. Environment: BENCH_SF_DIR, BENCH_CPUS.
+the executors. `growth` repeats some on many copies of the events, once each.
+Environment: BENCH_SF_DIR, BENCH_CPUS, BENCH_TIMES (copies).
 """
 
 from __future__ import annotations
@@ -35,38 +36,6 @@ def consume(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def enrich_with_udfs(messages: DataFrame) -> DataFrame:
-    """The enrichment with row-at-a-time Python functions, for comparison only."""
-    from lumentide.schemas import CATEGORY_LEVEL, LEVELS, SOURCE_LEVEL_SHIFT, SOURCE_WEIGHT
-
-    @F.udf("string")
-    def level(category, source):
-        if not category:
-            return LEVELS[0]
-        rank = LEVELS.index(CATEGORY_LEVEL.get(category, LEVELS[0]))
-        return LEVELS[min(max(rank + SOURCE_LEVEL_SHIFT.get(source, 0), 0), 3)]
-
-    @F.udf("string")
-    def dominance(medium, signal):
-        if not medium:
-            return "unknown"
-        cut = {"institutional_media": (0.6, "media_led"),
-               "formal_knowledge": (0.4, "knowledge_led"),
-               "collective_memory": (-1.0, "memory_led")}.get(medium, (2.0, ""))
-        return cut[1] if (signal or 0.0) > cut[0] else "ambient"
-
-    @F.udf("float")
-    def weighted(signal, source, category):
-        boost = 1.15 if category in ("environment", "health") else 1.0
-        return min((signal or 0.0) * SOURCE_WEIGHT.get(source, 1.0) * boost, 1.0)
-
-    return enrich.with_event_time(enrich.parse_envelope(messages)).withColumns({
-        "consciousness_level": level("topic_category", "source"),
-        "medium_dominance": dominance("medium_type", "signal_strength"),
-        "signal_strength": weighted("signal_strength", "source", "topic_category"),
-    }).drop("kafka_topic")
-
-
 def prepare(spark: SparkSession, sf_dir: str) -> dict:
     """The inputs as they would lie in storage: tables, messages, landed files.
 
@@ -120,10 +89,45 @@ def workloads(spark: SparkSession, sf_dir: str) -> dict:
         "dedupe_events": lambda: consume(dedupe_events(raw)),
         "parse_and_enrich": lambda: consume(enrich.parse_and_enrich(data["messages"])),
         "parse_and_enrich_stream": streamed,
-        "comparison_python_udfs": lambda: consume(enrich_with_udfs(data["messages"])),
     }
 
 
+def growth(spark: SparkSession, sf_dir: str, times: int) -> dict:
+    """Rows per second on the events as given and on `times` copies with other ids and dates."""
+    found: dict[str, dict[str, int]] = {}
+    for n in (1, times):
+        copy = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("copy")
+        back = (F.col("copy") % 20 * 31).cast("int")
+        many = inputs.raw_events(spark, sf_dir).select("*", copy).withColumns({
+            "event_id": F.concat_ws("-", "event_id", F.col("copy").cast("string")),
+            "event_date": F.date_sub("event_date", back),
+            "event_timestamp": F.col("event_timestamp") - F.make_dt_interval(days=back),
+        }).drop("copy")
+        raw = tables.append_backfill(many, shared_dir(spark, "raw"))
+        exports = shared_dir(spark, "exports")
+        inputs.gdelt_lines(spark, sf_dir).select("*", copy).select(
+            F.concat("copy", "line").alias("line")).write.text(exports)
+        events = fact.fact_from_raw(raw, AS_OF)
+        work = {
+            "fact_from_raw": lambda: consume(events),
+            "daily_rollup": lambda: consume(aggregate.daily_rollup(events)),
+            "dedupe_events": lambda: consume(dedupe_events(raw)),
+            "normalise_gdelt": lambda: consume(normalise.normalise_gdelt(
+                landed.read_gdelt_exports(spark, exports), "live", INGEST_TIME)),
+            "rebuild_tables": lambda: rebuild_tables(
+                raw, shared_dir(spark, "warehouse"), AS_OF),
+        }
+        rows = raw.count()
+        for name, run in work.items():
+            if n == 1:
+                run()
+            start = time.perf_counter()
+            run()
+            found.setdefault(name, {})[f"rows_per_sec_{n}x"] = round(
+                rows / (time.perf_counter() - start))
+    return found
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -141,18 +145,17 @@ def main() -> None:
             runs.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(runs), 3)
     rows = COPIES * inputs.table(spark, sf_dir, "events").count()
-    headline = {k: v for k, v in seconds.items() if not k.startswith("comparison")}
     print(json.dumps({
         "metric": "sum of median seconds over headline queries",
-        "value": round(sum(headline.values()), 3),
+        "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "rows_per_sec": {
             "enrichment_native": round(rows / seconds["parse_and_enrich"]),
             "enrichment_stream": round(rows / seconds["parse_and_enrich_stream"]),
-            "enrichment_python_udfs": round(rows / seconds["comparison_python_udfs"]),
         },
+        "growth": growth(spark, sf_dir, int(os.environ.get("BENCH_TIMES", "100"))),
     }))
     spark.stop()
 

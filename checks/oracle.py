@@ -69,6 +69,14 @@ FROM (SELECT *, source = 'other' AS odd, CAST(event_id AS BIGINT) % 5 AS flaw,
         source = 'other' AND CAST(event_id AS BIGINT) % 5 = 0 AS broken FROM raw_events)
 """
 
+VIEWS["delivered_once"] = """
+SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 101 <> 0 THEN event_id END AS event_id)
+FROM raw_events
+UNION ALL
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS event_id, ingested_at + INTERVAL 1 HOUR AS ingested_at)
+FROM raw_events WHERE source = 'wiki_pageviews' AND CAST(event_id AS BIGINT) % 101 = 0
+"""
+
 # --- stream enrichment ------------------------------------------------------
 
 VIEWS["leveled"] = """
@@ -276,20 +284,24 @@ FROM fact WHERE event_date >= DATE '{day}' - INTERVAL 30 DAY
 GROUP BY event_date, topic_category, medium_dominance, consciousness_level
 """
     VIEWS[f"tile2{suffix}"] = f"""
-SELECT sync.event_date, sync.topic_category, CAST(NULL AS VARCHAR) AS medium_dominance,
-  level.dominant_level AS consciousness_level,
-  coalesce((SELECT sum(agg.event_count) FROM agg WHERE agg.event_date = sync.event_date
-            AND agg.topic_category = sync.topic_category), 0) AS event_count,
+WITH volume AS (
+  SELECT event_date AS on_day, topic_category AS about, sum(event_count) AS events
+  FROM agg WHERE topic_category IS NOT NULL GROUP BY ALL),
+gap AS (
+  SELECT event_date AS on_day, topic_category AS about, shadow_index_raw, shadow_classification
+  FROM shadow WHERE topic_category IS NOT NULL),
+mood AS (SELECT event_date AS on_day, dominant_level FROM level)
+SELECT event_date, topic_category, CAST(NULL AS VARCHAR) AS medium_dominance,
+  dominant_level AS consciousness_level, coalesce(events, 0) AS event_count,
   synchronicity_score AS total_signal, rolling_7d_synchronicity AS avg_signal,
   shadow_index_raw AS shadow_index, shadow_classification, is_kairos_event,
-  CASE WHEN is_kairos_event THEN '⚡ Kairos: ' || nullif(sync.topic_category, '') END
+  CASE WHEN is_kairos_event THEN '⚡ Kairos: ' || nullif(topic_category, '') END
     AS kairos_label,
   CAST(NULL AS DOUBLE) AS pct_of_daily_total, 'temporal' AS tile_type
-FROM sync
-LEFT JOIN shadow ON shadow.event_date = sync.event_date
-  AND shadow.topic_category = sync.topic_category
-LEFT JOIN level ON level.event_date = sync.event_date
-WHERE sync.event_date >= DATE '{day}' - INTERVAL 90 DAY
+FROM (FROM sync WHERE event_date >= DATE '{day}' - INTERVAL 90 DAY) AS recent
+LEFT JOIN volume ON (volume.on_day, volume.about) = (event_date, topic_category)
+LEFT JOIN gap ON (gap.on_day, gap.about) = (event_date, topic_category)
+LEFT JOIN mood ON mood.on_day = event_date
 """
     VIEWS[f"mart{suffix}"] = f"""
 SELECT event_date, topic_category, medium_dominance, consciousness_level, event_count,
@@ -324,7 +336,10 @@ SELECT left(sha256('wiki_changes:' || revision || ':' || strftime(moment, '%Y-%m
   least(abs(CASE source WHEN 'src13' THEN 0 ELSE n_chars END
             - CASE source WHEN 'src12' THEN 0 ELSE doc_id % 7 * 1000 END) / 10000, 1)
     AS signal_strength,
-  'collective_memory' AS medium_type, {INGESTED} AS ingested_at
+  'collective_memory' AS medium_type, {INGESTED} AS ingested_at,
+  title AS sent_title, nullif(revision, '') AS sent_revision,
+  CASE source WHEN 'src13' THEN NULL ELSE n_chars END AS sent_length,
+  CASE source WHEN 'src15' THEN NULL ELSE 1704067200 + doc_id * 60 END AS sent_timestamp
 FROM (
   SELECT *, ['science', 'WAR of', 'Health', 'climate', 'history', 'trade', 'software', 'Spain',
              'mental', 'energy', 'quiet', 'Election'][doc_id % 12 + 1]
@@ -335,19 +350,24 @@ FROM (
   FROM documents WHERE source NOT IN ('src17', 'src18', 'src19'))
 """
 
-VIEWS["views_top"] = f"""
+_VIEWS = f"""
 SELECT left(sha256('wiki_pageviews:' || title || ':' || strftime(hour, '%Y-%m-%dT%H:%M:%S')
                    || '+00:00'), 32) AS event_id,
   'wiki_pageviews' AS source, hour AS event_timestamp, CAST(hour AS DATE) AS event_date,
   title AS topic, {_topic_of('title')} AS topic_category, 'en' AS language,
   CAST(NULL AS VARCHAR) AS country_code,
   least(length(html) * (page_id % 500) / 1000000, 1) AS signal_strength,
-  'collective_memory' AS medium_type, {INGESTED} AS ingested_at
+  'collective_memory' AS medium_type, {INGESTED} AS ingested_at,
+  to_json({{'article': replace(regexp_extract(html, '<title>([^<]*)</title>', 1), ' ', '_'),
+           'views': length(html) * (page_id % 500), 'rank': 240 - page_id % 240}}) AS raw_payload
 FROM (
   SELECT page_id, html,
     replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '_', ' ') AS title,
     TIMESTAMP '2024-01-01' + to_hours(CAST(page_id // 240 AS INTEGER)) AS hour
   FROM pages
+"""
+VIEWS["views"] = _VIEWS + ")"
+VIEWS["views_top"] = _VIEWS + """
   QUALIFY row_number() OVER (PARTITION BY page_id // 240 ORDER BY page_id DESC) <= 200)
 """
 
@@ -400,7 +420,7 @@ SELECT *, TIMESTAMP '2024-01-01' + to_seconds(doc_id * 3600) AS moment,
     WHEN source IN ('src7', 'src8') THEN 'physics' WHEN source IN ('src9', 'src10') THEN 'q-bio.NC'
     WHEN source IN ('src11', 'src12') THEN 'q-fin.ST' WHEN source = 'src13' THEN 'econ.GN'
     WHEN source = 'src14' THEN 'Stat.ML' ELSE 'hep-th' END AS category,
-  CAST([('Author ' || i) FOR i IN range(1, least(doc_id % 25, 10) + 1)] AS VARCHAR[]) AS authors
+  CAST([('Author ' || i) FOR i IN range(1, doc_id % 25 + 1)] AS VARCHAR[]) AS authors
 FROM documents
 """
 
@@ -411,21 +431,27 @@ _ARXIV = f"""
   'formal_knowledge' AS medium_type, {INGESTED} AS ingested_at
 """
 
-VIEWS["papers_feed"] = f"""
+def _papers_feed(authors: str, summary: str, chosen: str) -> str:
+    return f"""
 SELECT left(sha256('arxiv:' || paper), 32) AS event_id, 'arxiv' AS source,
   published AS event_timestamp, CAST(published AS DATE) AS event_date,
   'On ' || lang || chr(10) || source || ' ' || doc_id AS topic, {_ARXIV},
-  to_json({{'arxiv_id': paper, 'category': category, 'authors': authors,
-           'summary': left(text, 500)}}) AS raw_payload
+  to_json({{'arxiv_id': paper, 'category': category, 'authors': {authors},
+           'summary': {summary}}}) AS raw_payload
 FROM (
   SELECT *, 'http://arxiv.org/abs/' || doc_id || 'v1' AS paper,
     CASE WHEN source IN ('src15', 'src16') THEN {INGESTED} ELSE moment + INTERVAL 5 HOUR END
       AS published
-  FROM entries
-  QUALIFY row_number() OVER (PARTITION BY category, doc_id // 700 ORDER BY doc_id) <= 200)
+  FROM entries {chosen})
 WHERE source NOT IN ('src17', 'src18', 'src19')
 """
 
+
+VIEWS["papers_feed"] = _papers_feed("authors", "text", "")
+VIEWS["papers_feed_top"] = _papers_feed(
+    "authors[1:10]", "left(text, 500)",
+    "QUALIFY row_number() OVER (PARTITION BY category, doc_id // 700 ORDER BY doc_id) <= 200")
+
 VIEWS["papers_backfill"] = f"""
 SELECT left(sha256('arxiv:' || doc_id || 'v1'), 32) AS event_id, 'arxiv' AS source,
   published AS event_timestamp, CAST(published AS DATE) AS event_date,

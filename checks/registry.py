@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,7 +17,7 @@ from lumentide.functions import (
 from lumentide.operators import aggregate, dashboard, envelope, fact, metrics, normalise, quality
 from lumentide.operators.selection import dedupe_events
 from lumentide.operators.staging import stg_arxiv, stg_gdelt, stg_wikipedia
-from lumentide.plans.daily import run_daily
+from lumentide.plans.daily import rebuild_tables, refresh_tables, run_daily
 from lumentide.session import configure, pin, shared_dir
 from lumentide.sources import tables
 from lumentide.streaming import enrich, sinks, source
@@ -63,17 +65,31 @@ def _mart(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
 PAYLOAD = columns.NORMALISED + " raw_payload:s"
 
 
-@register("normalise_wiki_changes", columns.NORMALISED, "edits")
+SENT = columns.NORMALISED + " sent_title:s sent_revision:s sent_length:s sent_timestamp:s"
+
+
+@register("normalise_wiki_changes", SENT, "edits")
 def _(spark, sf_dir):
-    return normalise.normalise_wiki_changes(inputs.wiki_changes(spark, sf_dir), INGEST_TIME)
+    sent = lambda path: F.get_json_object("raw_payload", path)
+    return normalise.normalise_wiki_changes(
+        inputs.wiki_changes(spark, sf_dir), INGEST_TIME,
+    ).withColumns({
+        "sent_title": sent("$.title"), "sent_revision": sent("$.revision.new"),
+        "sent_length": sent("$.length.new"), "sent_timestamp": sent("$.timestamp")})
 
 
-@register("normalise_wiki_pageviews", columns.NORMALISED, "views_top")
+@register("normalise_wiki_pageviews", PAYLOAD, "views")
 def _(spark, sf_dir):
     return normalise.normalise_wiki_pageviews(
         inputs.pageviews(spark, sf_dir), ingest_time=INGEST_TIME)
 
 
+@register("normalise_wiki_pageviews_top", PAYLOAD, "views_top")
+def _(spark, sf_dir):
+    return normalise.normalise_wiki_pageviews(
+        inputs.pageviews(spark, sf_dir), top_n=200, ingest_time=INGEST_TIME)
+
+
 @register("normalise_gdelt_live", PAYLOAD, "news_live")
 def _(spark, sf_dir):
     return normalise.normalise_gdelt(inputs.gdelt_lines(spark, sf_dir), "live", INGEST_TIME)
@@ -90,6 +106,13 @@ def _(spark, sf_dir):
         inputs.arxiv_entries(spark, sf_dir, "rfc822"), "feed", ingest_time=INGEST_TIME)
 
 
+@register("normalise_arxiv_feed_top", PAYLOAD, "papers_feed_top")
+def _(spark, sf_dir):
+    return normalise.normalise_arxiv(
+        inputs.arxiv_entries(spark, sf_dir, "rfc822"), "feed", max_per_category=200,
+        ingest_time=INGEST_TIME, max_authors=10, max_summary=500)
+
+
 @register("normalise_arxiv_backfill", PAYLOAD, "papers_backfill")
 def _(spark, sf_dir):
     return normalise.normalise_arxiv(
@@ -141,7 +164,7 @@ def _(spark, sf_dir):
 DELIVERED = "event_id:s source:s event_timestamp:t event_date:d topic:s ingested_at:t"
 
 
-@register("dedupe_events", DELIVERED, "raw_events")
+@register("dedupe_events", DELIVERED, "delivered_once")
 def _(spark, sf_dir):
     return dedupe_events(inputs.redelivered_events(spark, sf_dir))
 
@@ -172,6 +195,35 @@ def _(spark, sf_dir):
     ).select("key", "kafka_topic", "event.*")
 
 
+SENT_ALL = MESSAGE.replace(" raw_payload:s", "")
+_SENT_KEY = {"edits": "topic", "views": "topic", "news_backfill": "topic",
+             "papers_feed": "raw_payload->>'$.category'"}
+_KAFKA_TOPIC = "CASE source WHEN 'gdelt' THEN 'gdelt_events' WHEN 'arxiv' THEN 'arxiv_papers' ELSE source END"
+
+
+@register("to_envelope_sources", SENT_ALL, "", sql=oracle.query(" UNION ALL ".join(f"""
+SELECT {columns.select_list(SENT_ALL)} FROM (
+  SELECT * REPLACE (strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS event_timestamp,
+      strftime(ingested_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ingested_at),
+    {key} AS key, {_KAFKA_TOPIC} AS kafka_topic
+  FROM (FROM {view}))""" for view, key in _SENT_KEY.items())))
+def _(spark, sf_dir):
+    events = [
+        normalise.normalise_wiki_changes(inputs.wiki_changes(spark, sf_dir), INGEST_TIME),
+        normalise.normalise_wiki_pageviews(
+            inputs.pageviews(spark, sf_dir), ingest_time=INGEST_TIME),
+        normalise.normalise_gdelt(inputs.gdelt_lines(spark, sf_dir), "backfill", INGEST_TIME),
+        normalise.normalise_arxiv(
+            inputs.arxiv_entries(spark, sf_dir, "rfc822"), "feed", ingest_time=INGEST_TIME)]
+    received = "event_id string, source string, event_timestamp string, topic string, " \
+        "topic_category string, language string, country_code string, signal_strength double, " \
+        "medium_type string, ingested_at string"
+    return envelope.to_envelope(reduce(DataFrame.unionByName, events)).select(
+        "key", F.col("topic").alias("kafka_topic"),
+        F.from_json(F.col("value").cast("string"), received).alias("event"),
+    ).select("key", "kafka_topic", "event.*")
+
+
 @register(
     "validate_envelope", "event_id:s source:s topic_category:s medium_type:s reject_reason:s",
     "validated")
@@ -239,13 +291,13 @@ def _(spark, sf_dir):
 
 # --- streams ----------------------------------------------------------------
 
-def _message_stream(spark: SparkSession, sf_dir: str, max_files: int = 100) -> DataFrame:
+def _message_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     landed = shared_dir(spark, "messages")
     inputs.messages(spark, sf_dir).repartition(4).write.parquet(landed)
     return source.read_landed_stream(spark, landed, max_files)
 
 
-@register("read_event_stream", PARSED + " kafka_topic:s", "message_fields")
+@register("read_landed_stream", PARSED + " kafka_topic:s", "message_fields")
 def _(spark, sf_dir):
     out = shared_dir(spark, "parsed")
     parsed = enrich.parse_envelope(_message_stream(spark, sf_dir, max_files=1))
@@ -295,12 +347,16 @@ def _(spark, sf_dir):
 
 @register(
     "dedupe_events_stream", "event_id:s source:s event_timestamp:t event_date:d topic:s",
-    "raw_events")
+    "delivered_once")
 def _(spark, sf_dir):
+    # Four micro-batches, the latest events first: most rows are days late.
     landed, out = shared_dir(spark, "delivered"), shared_dir(spark, "distinct")
-    inputs.redelivered_events(spark, sf_dir).repartition(4).write.parquet(landed)
+    events = inputs.redelivered_events(spark, sf_dir)
+    for days in ("> '2024-01-20'", "between '2024-01-11' and '2024-01-20'", "< '2024-01-11'"):
+        events.filter(f"event_date {days}").coalesce(1).write.mode("append").parquet(landed)
+    events.filter("event_id is not null").coalesce(1).write.mode("append").parquet(landed)
     schema = spark.read.parquet(landed).schema
-    events = spark.readStream.schema(schema).parquet(landed)
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
     (enrich.dedupe_stream(events).writeStream.format("parquet").option("path", out)
      .option("checkpointLocation", shared_dir(spark, "offsets"))
      .trigger(availableNow=True).start().awaitTermination())
@@ -311,10 +367,36 @@ def _(spark, sf_dir):
 
 @register("load_lake_to_raw", columns.ENVELOPE, "enriched")
 def _(spark, sf_dir):
-    lake, raw = shared_dir(spark, "lake"), shared_dir(spark, "raw")
+    # A load, one without new files, and one with late files for old dates.
+    lake, raw, offsets, landed, loaded = (
+        shared_dir(spark, p) for p in ("lake", "raw", "offsets", "messages", "loaded"))
+    sent = inputs.messages(spark, sf_dir)
+    for late in (False, True):
+        sent.filter((F.col("topic") == "gdelt_events") == F.lit(late)).write.mode("append") \
+            .parquet(landed)
+        events = enrich.parse_and_enrich(source.read_landed_stream(spark, landed))
+        sinks.write_lake(events, lake, offsets, trigger=None).awaitTermination()
+        for _again in range(2):
+            rows = tables.load_lake_to_raw(spark, lake, raw, loaded)
+    return rows
+
+
+@register("raw_table_writers", columns.ENVELOPE, "", sql=oracle.query(
+    " UNION ALL ".join(f"SELECT {columns.select_list(columns.ENVELOPE)} FROM {view}"
+                       for view in ("enriched", "enriched", "news_backfill"))))
+def _(spark, sf_dir):
+    # Stream, lake load and a backfill delivered twice, in one table; then closed days merge.
+    lake, raw, offsets, loaded = (
+        shared_dir(spark, p) for p in ("lake", "raw", "offsets", "loaded"))
     events = _enriched_stream(spark, sf_dir)
-    sinks.write_lake(events, lake, shared_dir(spark, "offsets"), trigger=None).awaitTermination()
-    return tables.load_lake_to_raw(spark, lake, raw)
+    for query in sinks.run_dual_sink(events, lake, raw, offsets, trigger=None):
+        query.awaitTermination()
+    tables.load_lake_to_raw(spark, lake, raw, loaded)
+    news = normalise.normalise_gdelt(inputs.gdelt_lines(spark, sf_dir), "backfill", INGEST_TIME)
+    for _again in range(2):
+        tables.append_backfill(news, raw, "news")
+    tables.compact(spark, raw, dt.date(2024, 1, 20))
+    return tables.read_raw(spark, raw)
 
 
 @register("append_backfill", PAYLOAD, "", sql=oracle.query(
@@ -341,6 +423,15 @@ def _(spark, sf_dir):
     return tables.retain(inputs.raw_events(spark, sf_dir), AS_OF, days=25)
 
 
+@register("expire_partitions", RAW, "raw_events",
+          f"event_date >= DATE '{AS_OF}' - INTERVAL 25 DAY")
+def _(spark, sf_dir):
+    raw = shared_dir(spark, "raw")
+    tables.append_backfill(inputs.raw_events(spark, sf_dir), raw)
+    tables.expire_partitions(spark, raw, dt.date.fromisoformat(AS_OF), days=25)
+    return tables.read_raw(spark, raw)
+
+
 # --- staging, fact, aggregate -----------------------------------------------
 
 @register("stg_wikipedia", columns.STAGED, "staged_wikipedia")
@@ -498,3 +589,32 @@ def _(spark, sf_dir):
 @register("run_daily", columns.MART, "mart")
 def _(spark, sf_dir):
     return run_daily(inputs.raw_events(spark, sf_dir), AS_OF).mart_dashboard
+
+
+@register("rebuild_tables_staging", columns.STAGED, "staged_gdelt")
+def _(spark, sf_dir):
+    return rebuild_tables(
+        inputs.raw_events(spark, sf_dir), shared_dir(spark, "warehouse"), AS_OF,
+        raw_by_date=False, staging=True).stg_gdelt
+
+
+@register("rebuild_tables_level", columns.LEVEL, "level")
+def _(spark, sf_dir):
+    return rebuild_tables(
+        inputs.raw_events(spark, sf_dir), shared_dir(spark, "warehouse"), AS_OF,
+        raw_by_date=False).consciousness_level
+
+
+@register("refresh_tables", columns.FACT, "fact")
+def _(spark, sf_dir):
+    # A first run with one day missing and one day too many, then a refresh on the right rows.
+    events, root = inputs.raw_events(spark, sf_dir), shared_dir(spark, "warehouse")
+    extra = events.filter("event_date = '2024-01-20'").withColumns({
+        c: F.col(c) + F.expr("interval 12 days") for c in ("event_date", "event_timestamp")
+    }).withColumn("event_date", F.col("event_date").cast("date"))
+    rebuild_tables(
+        events.filter("event_date <> '2024-01-25'").unionByName(extra), root, AS_OF,
+        raw_by_date=False)
+    return refresh_tables(
+        events, root, dt.date.fromisoformat(AS_OF), since=dt.date(2024, 1, 18),
+        raw_by_date=False).fact_attention_events

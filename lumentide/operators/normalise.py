@@ -57,13 +57,18 @@ def normalise_wiki_changes(
 
 
 def normalise_wiki_pageviews(
-    articles: DataFrame, top_n: int = 200, ingest_time: dt.datetime | None = None,
+    articles: DataFrame, top_n: int | None = None, ingest_time: dt.datetime | None = None,
 ) -> DataFrame:
-    """The most read articles of each hour; strength is full at a million views."""
-    top = first_per_group(
-        articles.select("hour", "rank", "article", "views"),
-        ["hour"], [F.col("rank"), F.col("article"), F.col("views")], top_n)
-    hour = F.date_trunc("hour", "hour")
+    """Articles read in each hour; strength is full at a million views.
+
+    With `top_n` only the first articles of each full hour are taken, in feed order.
+    """
+    top = articles.select(
+        F.date_trunc("hour", "hour").alias("hour"), "rank", "article", "views")
+    if top_n is not None:
+        top = first_per_group(
+            top, ["hour"], [F.col("rank"), F.col("article"), F.col("views")], top_n)
+    hour = F.col("hour")
     title = F.replace(F.coalesce("article", F.lit("")), F.lit("_"), F.lit(" "))
     return _envelope(
         top, ingest_time,
@@ -144,28 +149,35 @@ def normalise_gdelt(
 
 
 def normalise_arxiv(
-    entries: DataFrame, mode: str = "feed", max_per_category: int = 200,
-    ingest_time: dt.datetime | None = None,
+    entries: DataFrame, mode: str = "feed", max_per_category: int | None = None,
+    ingest_time: dt.datetime | None = None, max_authors: int | None = None,
+    max_summary: int | None = None,
 ) -> DataFrame:
     """Papers from feed entries; strength is the number of authors, full at 20.
 
-    `feed` takes the first entries of a category in every feed (`feed_date`, in the
-    order of `position`) and reads RFC-822 dates. `backfill` takes all entries,
-    shortens ids to the part after `/abs/` and reads ISO dates.
+    `feed` reads RFC-822 dates and keeps the summary; with `max_per_category` it takes
+    the first entries of a category in every feed (`feed_date`, in the order of
+    `position`). `backfill` shortens ids to the part after `/abs/` and reads ISO dates.
+    The payload holds all authors and the whole summary unless a limit is given.
     """
     if mode not in ("feed", "backfill"):
         raise ValueError(f"unknown mode {mode!r}")
     authors = F.greatest(F.coalesce(F.size("authors"), F.lit(0)), F.lit(1))
-    names = F.transform(
-        F.slice(F.coalesce("authors", F.array().cast(entries.schema["authors"].dataType)), 1, 10),
-        lambda a: F.coalesce(a["name"], F.lit("")))
+    listed = F.coalesce("authors", F.array().cast(entries.schema["authors"].dataType))
+    if max_authors is not None:
+        listed = F.slice(listed, 1, max_authors)
+    names = F.transform(listed, lambda a: F.coalesce(a["name"], F.lit("")))
     title = strip_ws(F.coalesce("title", F.lit("")))
     if mode == "feed":
-        entries = first_per_group(
-            entries, ["category", "feed_date"], [F.col("position"), F.col("id")],
-            max_per_category)
+        if max_per_category is not None:
+            entries = first_per_group(
+                entries, ["category", "feed_date"], [F.col("position"), F.col("id")],
+                max_per_category)
         paper_id, ts = F.col("id"), parse_rfc822(F.col("published"))
-        tail = [F.left(F.coalesce("summary", F.lit("")), F.lit(500)).alias("summary")]
+        summary = F.coalesce("summary", F.lit(""))
+        if max_summary is not None:
+            summary = F.left(summary, F.lit(max_summary))
+        tail = [summary.alias("summary")]
     else:
         title = F.replace(title, F.lit("\n"), F.lit(" "))
         paper_id = F.substring_index("id", "/abs/", -1)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,7 +39,10 @@ def dedupe_events(
     partition drops its own copies before the shuffle, so an id delivered very
     often costs one row per partition. Equal delivery times are settled by a hash
     of the whole row, which keeps the result independent of the row order. Rows
-    without an id count as copies of one another, as in dropDuplicates.
+    without an id are nobody's copies and all stay.
     """
     present = [F.col(c).asc_nulls_last() for c in first_by if c in df.columns]
-    return _keep_first(df, keys, [*present, F.xxhash64(*df.columns)], 1)
+    known = reduce(and_, [F.col(c).isNotNull() for c in keys])
+    return _keep_first(
+        df.filter(known), keys, [*present, F.xxhash64(*df.columns)], 1
+    ).unionByName(df.filter(~known))

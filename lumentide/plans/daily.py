@@ -13,23 +13,31 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lumentide.operators.aggregate import agg_daily_attention, daily_rollup
-from lumentide.operators.dashboard import dashboard_tile1, dashboard_tile2, mart_dashboard
+from lumentide.operators.aggregate import (
+    agg_daily_attention, daily_noospheric_density, daily_rollup,
+)
+from lumentide.operators.dashboard import (
+    dashboard_tile1, dashboard_tile2, mart_dashboard, recent_kairos_events, tile1_chart,
+    tile2_series,
+)
 from lumentide.operators.fact import fact_from_raw
 from lumentide.operators.metrics import (
     consciousness_level_daily, shadow_index, source_signals, synchronicity_score,
 )
 from lumentide.operators.quality import assert_quality, quality_metrics
-from lumentide.operators.staging import staging_start
+from lumentide.operators.staging import staging_start, stg_arxiv, stg_gdelt, stg_wikipedia
 from lumentide.session import pin
 from lumentide.sources.tables import (
-    drop_partitions_before, materialise, read_table, replace_partitions,
+    drop_partitions, materialise, read_table, replace_partitions,
 )
 
 # Partition column and clustering of the tables. The tables above the rollup have a
 # few rows per day: as one directory per day they would be thousands of tiny files,
 # so they are sorted by date instead and skipped through by row group.
 LAYOUT: Mapping[str, tuple[str | None, tuple[str, ...]]] = {
+    "stg_wikipedia": ("event_date", ("source", "topic_category")),
+    "stg_gdelt": ("event_date", ("topic_category",)),
+    "stg_arxiv": ("event_date", ("topic_category",)),
     "fact_attention_events": ("event_date", ("source", "topic_category")),
     "daily_rollup": ("event_date", ("topic_category", "source")),
     "agg_daily_attention": (None, ("event_date", "topic_category", "source")),
@@ -39,24 +47,41 @@ LAYOUT: Mapping[str, tuple[str | None, tuple[str, ...]]] = {
     "mart_dashboard": (None, ("event_date", "topic_category")),
 }
 
+#: Tables read straight from the raw table, in its partitions.
+BY_DATE = ("stg_wikipedia", "stg_gdelt", "stg_arxiv", "fact_attention_events")
+
 
 @dataclass(frozen=True)
 class DailyRun:
-    """Tables of a run and the outcome of its checks."""
+    """Tables of a run, what is shown of them, and the outcome of its checks."""
 
+    stg_wikipedia: DataFrame
+    stg_gdelt: DataFrame
+    stg_arxiv: DataFrame
     fact_attention_events: DataFrame
     agg_daily_attention: DataFrame
+    daily_noospheric_density: DataFrame
     synchronicity_score: DataFrame
     shadow_index: DataFrame
     consciousness_level: DataFrame
     mart_dashboard: DataFrame
+    tile1_chart: DataFrame
+    tile2_series: DataFrame
+    recent_kairos_events: DataFrame
     quality_metrics: DataFrame
     quality_checks: DataFrame
 
 
 def _build(
     raw: DataFrame, as_of: dt.date | str | None, keep: Callable[[str, DataFrame], DataFrame],
+    staging: bool = False,
 ) -> DailyRun:
+    # The fact table comes from one pass over the raw table; the staging tables are for
+    # those who want them and cost nothing until read.
+    staged = {"stg_wikipedia": stg_wikipedia(raw, as_of), "stg_gdelt": stg_gdelt(raw, as_of),
+              "stg_arxiv": stg_arxiv(raw, as_of)}
+    if staging:
+        staged = {name: keep(name, df) for name, df in staged.items()}
     fact = keep("fact_attention_events", fact_from_raw(raw, as_of))
     rollup = keep("daily_rollup", daily_rollup(fact))
     agg = keep("agg_daily_attention", agg_daily_attention(rollup))
@@ -67,13 +92,25 @@ def _build(
     mart = keep("mart_dashboard", mart_dashboard(
         dashboard_tile1(rollup, as_of), dashboard_tile2(sync, shadow, level, agg, as_of)))
     metrics = quality_metrics(mart, as_of)
-    return DailyRun(fact, agg, sync, shadow, level, mart, metrics, assert_quality(metrics))
+    return DailyRun(
+        **staged, fact_attention_events=fact, agg_daily_attention=agg,
+        daily_noospheric_density=daily_noospheric_density(agg), synchronicity_score=sync,
+        shadow_index=shadow, consciousness_level=level, mart_dashboard=mart,
+        tile1_chart=tile1_chart(mart), tile2_series=tile2_series(mart),
+        recent_kairos_events=recent_kairos_events(sync, as_of), quality_metrics=metrics,
+        quality_checks=assert_quality(metrics))
 
 
-def run_daily(raw: DataFrame, as_of: dt.date | str | None = None) -> DailyRun:
-    """All tables as DataFrames. Runs one job, for the rollup; the rest stays lazy."""
-    return _build(
-        raw, as_of, lambda name, df: pin(df, name) if name == "daily_rollup" else df)
+def run_daily(
+    raw: DataFrame, as_of: dt.date | str | None = None, scratch: str | None = None,
+) -> DailyRun:
+    """All tables as DataFrames. Runs one job, for the rollup; the rest stays lazy.
+
+    The rollup is kept below `scratch`, shared storage that the caller may remove when
+    done with the run; by default below the cluster's checkpoint folder.
+    """
+    return _build(raw, as_of, lambda name, df: (
+        pin(df, name, scratch) if name == "daily_rollup" else df))
 
 
 def _path(root: str, name: str) -> str:
@@ -82,18 +119,21 @@ def _path(root: str, name: str) -> str:
 
 def rebuild_tables(
     raw: DataFrame, root: str, as_of: dt.date | str | None = None, raw_by_date: bool = True,
+    staging: bool = False,
 ) -> DailyRun:
     """All tables written below `root`, each in full and from the ones before.
 
+    With `staging` the three staging tables are written too, at a pass each.
+
     The fact table needs no shuffle when the raw table it is read from is
     partitioned by date, as it should be; pass `raw_by_date=False` otherwise.
     """
     def keep(name: str, df: DataFrame) -> DataFrame:
         return materialise(
             df, _path(root, name), *LAYOUT[name],
-            in_place=raw_by_date and name == "fact_attention_events")
+            in_place=raw_by_date and name in BY_DATE)
 
-    return _build(raw, as_of, keep)
+    return _build(raw, as_of, keep, staging)
 
 
 def refresh_tables(
@@ -104,11 +144,14 @@ def refresh_tables(
     A day of the fact table and of the rollup depends on that day's events alone, so
     only the days from `since` are rebuilt; choose it early enough for late events.
     What lies beyond the staging window is dropped. The small tables are rebuilt in
-    full from the whole rollup. The result equals a full rebuild as long as no older
-    day has changed.
+    full from the whole rollup, and days that have no rows any more disappear. The result
+    equals a full rebuild as long as no older day has changed.
     """
     spark = raw.sparkSession
     incremental = ("fact_attention_events", "daily_rollup")
+    days = {r[0] for r in (  # a scan of one column of the refreshed days
+        fact_from_raw(raw, as_of).filter(F.col("event_date") >= F.lit(since))
+        .select("event_date").distinct().collect())}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         path = _path(root, name)
@@ -117,7 +160,9 @@ def refresh_tables(
         kept = replace_partitions(
             df.filter(F.col("event_date") >= F.lit(since)), path, *LAYOUT[name],
             in_place=raw_by_date and name == "fact_attention_events")
-        drop_partitions_before(spark, path, staging_start(as_of))
+        oldest = staging_start(as_of)
+        drop_partitions(
+            spark, path, lambda day: day < oldest or day >= since and day not in days)
         return read_table(spark, path, kept)
 
     return _build(raw, as_of, keep)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,24 +38,46 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's `spark.checkpoint.dir`.
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    """The setting of the cluster, or the folder given to `setCheckpointDir`."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        own = spark.sparkContext._jsc.sc().getCheckpointDir()
+        found = own.get() if own.isDefined() else None
+    return found
 
-    Only a session without that setting (a local test) gets a temporary folder
-    of the driver's machine.
+
+def shared_dir(spark: SparkSession, purpose: str, root: str | None = None) -> str:
+    """A fresh folder below `root`, by default below the cluster's `spark.checkpoint.dir`.
+
+    Executors write there and others read it, so it has to be shared storage. A
+    temporary folder of the driver's machine is used only where all tasks run on that
+    machine, with a local master; elsewhere a missing setting is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lumentide-")
+    base = root or _checkpoint_dir(spark)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError(
+                "no shared folder: pass one, or set spark.checkpoint.dir to a folder that "
+                "the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="lumentide-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, purpose: str = "pinned") -> DataFrame:
+def remove_dir(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of shared storage, such as pinned data nobody reads any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
+def pin(df: DataFrame, purpose: str = "pinned", root: str | None = None) -> DataFrame:
     """Write `df` once to shared storage and read it back.
 
     Used where several consumers share a small but expensive result. Unlike a
     cached result it is still there after executors are lost, and nothing
-    upstream is computed a second time.
+    upstream is computed a second time. Give a `root` of your own to remove it later.
     """
     spark = df.sparkSession
-    path = shared_dir(spark, purpose)
+    path = shared_dir(spark, purpose, root)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,8 @@
-"""Partitioned Parquet tables: layout, rebuild, append, retention.
+"""Partitioned Parquet tables: layout, rebuild, append, retention, compaction.
+
+All writers of the raw table use one layout, `event_date/batch`. A batch is what one
+micro-batch, lake load or backfill delivered; writing it again overwrites it, so that the
+table holds every delivery once. `compact` later merges the batches of closed days.
 
 Rows are brought together by partition value with a REBALANCE hint. AQE then
 splits a partition that is too large, such as a day holding a third of the table,
@@ -8,9 +12,11 @@ and merges small ones, so that no single task writes a whole day.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from lumentide.functions import as_date
 from lumentide.schemas import RAW_CLUSTERING, RAW_EVENTS, RETENTION_DAYS
@@ -35,6 +41,15 @@ def laid_out(
     return placed.sortWithinPartitions(*order) if order else placed
 
 
+def write_batch(events: DataFrame, path: str, batch: str) -> None:
+    """Write one delivery to the raw table; a repeated one replaces itself."""
+    (
+        laid_out(events, "event_date", RAW_CLUSTERING).withColumn("batch", F.lit(batch))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date", "batch").parquet(path)
+    )
+
+
 def _write(
     df: DataFrame, path: str, mode: str, partition_by: str | None = "event_date",
     cluster_by: Sequence[str] = RAW_CLUSTERING, in_place: bool = False, overwrite: str = "static",
@@ -49,9 +64,34 @@ def materialise(
     df: DataFrame, path: str, partition_by: str | None = "event_date",
     cluster_by: Sequence[str] = (), in_place: bool = False,
 ) -> DataFrame:
-    """Rebuild a derived table in full and return it as read back."""
-    _write(df, path, "overwrite", partition_by, cluster_by, in_place)
-    return read_table(df.sparkSession, path, df)
+    """Rebuild a derived table in full and return it as read back.
+
+    The new version is written beside the old one, which stays until the new one is
+    complete; a run that fails leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    version = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    _write(df, version, "overwrite", partition_by, cluster_by, in_place)
+    fs, to_path = _file_system(spark, path)
+    old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
+    if fs.exists(to_path(path)):
+        _rename(fs, to_path(path), to_path(old))
+    else:
+        fs.mkdirs(to_path(path).getParent())
+    _rename(fs, to_path(version), to_path(path))
+    fs.delete(to_path(old), True)
+    spark.catalog.refreshByPath(path)
+    return read_table(spark, path, df)
+
+
+def _file_system(spark: SparkSession, path: str):
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), to_path
+
+
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {source} to {target}")
 
 
 def replace_partitions(
@@ -80,21 +120,79 @@ def as_raw_events(df: DataFrame) -> DataFrame:
         for f in RAW_EVENTS.fields])
 
 
+def start_lake_load(
+    spark: SparkSession, lake_path: str, raw_path: str, checkpoint: str,
+    merge_schema: bool = False,
+) -> StreamingQuery:
+    """Load the lake files that are new since the last load with this checkpoint.
+
+    The lake is a file stream read to its present end; the checkpoint knows which files
+    were loaded, so a load touches new files only, of whatever event date. A load that is
+    repeated after a failure replaces what it wrote.
+    """
+    schema = read_lake(spark, lake_path, merge_schema).schema
+    files = spark.readStream.schema(schema).parquet(lake_path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_batch(as_raw_events(batch), raw_path, f"lake-{query}-{batch_id}")
+
+    return (
+        files.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+        .trigger(availableNow=True).start())
+
+
 def load_lake_to_raw(
-    spark: SparkSession, lake_path: str, raw_path: str, merge_schema: bool = False,
+    spark: SparkSession, lake_path: str, raw_path: str, checkpoint: str,
+    merge_schema: bool = False,
 ) -> DataFrame:
-    """Append the lake's files to the raw table and return the table."""
-    events = as_raw_events(read_lake(spark, lake_path, merge_schema))
-    _write(events, raw_path, "append")
+    """Load what is new in the lake into the raw table and return the table."""
+    start_lake_load(spark, lake_path, raw_path, checkpoint, merge_schema).awaitTermination()
     return read_raw(spark, raw_path)
 
 
-def append_backfill(events: DataFrame, raw_path: str) -> DataFrame:
-    """Append normalised history to the raw table and return the table."""
-    _write(as_raw_events(events), raw_path, "append")
+def append_backfill(events: DataFrame, raw_path: str, batch: str | None = None) -> DataFrame:
+    """Append normalised history to the raw table and return the table.
+
+    A backfill with a `batch` name replaces what an earlier one of that name wrote.
+    """
+    write_batch(as_raw_events(events), raw_path, f"backfill-{batch or uuid.uuid4().hex}")
     return read_raw(events.sparkSession, raw_path)
 
 
+def compact(spark: SparkSession, path: str, before: dt.date, keep: int = 1) -> list[str]:
+    """Merge the batches of every day before `before` that has more than `keep` of them.
+
+    Only for days no writer adds to any more: a delivery that was merged is not known by
+    its batch. The merged rows are written beside the table first and moved in, then the
+    merged batches are dropped; run it while nobody reads those days. Names the days.
+    """
+    fs, to_path = _file_system(spark, path)
+    days: dict[str, list[str]] = {}
+    for status in fs.listStatus(to_path(path)):
+        key, _, day = status.getPath().getName().partition("=")
+        if key == "event_date" and not day.startswith("__") and dt.date.fromisoformat(day) < before:
+            batches = [b.getPath().toString() for b in fs.listStatus(status.getPath())
+                       if b.getPath().getName().startswith("batch=")]
+            if len(batches) > keep:
+                days[day] = batches
+    if not days:
+        return []
+    merged = f"compacted-{uuid.uuid4().hex}"
+    aside = f"{path.rstrip('/')}.{merged}"
+    rows = read_raw(spark, path).filter(F.col("event_date").isin(
+        [dt.date.fromisoformat(d) for d in days]))
+    write_batch(rows, aside, merged)
+    for day, batches in days.items():
+        _rename(fs, to_path(f"{aside}/event_date={day}/batch={merged}"),
+                to_path(f"{path}/event_date={day}/batch={merged}"))
+        for batch in batches:
+            fs.delete(to_path(batch), True)
+    fs.delete(to_path(aside), True)
+    spark.catalog.refreshByPath(path)
+    return sorted(days)
+
+
 def retain(
     df: DataFrame, as_of: dt.date | str | None = None, days: int = RETENTION_DAYS,
 ) -> DataFrame:
@@ -110,17 +208,23 @@ def expire_partitions(
 
 
 def drop_partitions_before(spark: SparkSession, path: str, oldest: dt.date) -> list[str]:
-    """Drop the partitions of days before `oldest` and name them.
+    """Drop the partitions of days before `oldest` and name them."""
+    return drop_partitions(spark, path, lambda day: day < oldest)
+
+
+def drop_partitions(
+    spark: SparkSession, path: str, gone: Callable[[dt.date], bool],
+) -> list[str]:
+    """Drop the partitions of the days that are `gone` and name them.
 
     A metadata operation: it deletes directories and reads or rewrites no rows.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, to_path = _file_system(spark, path)
     dropped = []
-    for status in fs.listStatus(root):
+    for status in fs.listStatus(to_path(path)):
         key, _, value = status.getPath().getName().partition("=")
         if key != "event_date" or value.startswith("__"):
             continue
-        if dt.date.fromisoformat(value) < oldest and fs.delete(status.getPath(), True):
+        if gone(dt.date.fromisoformat(value)) and fs.delete(status.getPath(), True):
             dropped.append(value)
     return sorted(dropped)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from lumentide.schemas import RAW_CLUSTERING
-from lumentide.sources.tables import laid_out
+from lumentide.sources.tables import write_batch
 
 TRIGGER = "5 minutes"
 
@@ -42,19 +41,14 @@ def write_warehouse(
     the query's id, which lives in the checkpoint: a query started over with an empty
     checkpoint counts its batches from zero but gets a new id and overwrites nothing.
     """
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         context = batch.sparkSession.sparkContext
         name = stream or context.getLocalProperty("sql.streaming.queryId")
-        (
-            laid_out(batch, "event_date", RAW_CLUSTERING)
-            .withColumn("batch", F.lit(f"{name}-{batch_id}"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date", "batch").parquet(path)
-        )
+        write_batch(batch, path, f"{name}-{batch_id}")
 
     writer = (
         events.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint).foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint).foreachBatch(write)
     )
     return _triggered(writer, trigger).start()
 

@@ -14,31 +14,41 @@ MESSAGE = T.StructType([
 
 
 def kafka_options(
-    servers: str, topics: Sequence[str] = STREAM_TOPICS, max_offsets: int = 50_000,
+    servers: str, topics: Sequence[str] = STREAM_TOPICS, max_offsets: int | None = None,
+    starting: str = "latest", fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Options of the Kafka source: all topics as one stream, capped per trigger."""
-    return {
+    """Options of the Kafka source: all topics as one stream.
+
+    By default a trigger takes all there is, and offsets the broker has dropped before
+    they were read stop the stream rather than go unnoticed. A cap such as 50,000 offsets
+    per trigger bounds a micro-batch; it has to exceed the topics' rate, or the backlog
+    outgrows the broker's retention.
+    """
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
-        "startingOffsets": "latest",
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": str(max_offsets),
+        "startingOffsets": starting,
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    return options
 
 
 def read_event_stream(
     spark: SparkSession, servers: str, topics: Sequence[str] = STREAM_TOPICS,
-    max_offsets: int = 50_000,
+    max_offsets: int | None = None, starting: str = "latest", fail_on_data_loss: bool = True,
 ) -> DataFrame:
     """The live stream. Needs Spark's Kafka connector on the class path."""
-    return (
-        spark.readStream.format("kafka").options(**kafka_options(servers, topics, max_offsets))
-        .load().select("value", "topic")
-    )
+    options = kafka_options(servers, topics, max_offsets, starting, fail_on_data_loss)
+    return spark.readStream.format("kafka").options(**options).load().select("value", "topic")
 
 
-def read_landed_stream(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
+def read_landed_stream(
+    spark: SparkSession, path: str, max_files: int | None = None,
+) -> DataFrame:
     """The same stream from Parquet files of messages, for replays and tests."""
-    return (
-        spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", max_files).parquet(path)
-    )
+    reader = spark.readStream.schema(MESSAGE)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)

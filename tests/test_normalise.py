@@ -102,7 +102,7 @@ def test_arxiv_modes(spark):
     assert (paper["signal_strength"], paper["topic_category"]) == (1.0, "health")
     assert paper["event_timestamp"] == dt.datetime(2024, 1, 2, 5)
     payload = json.loads(paper["raw_payload"])
-    assert (len(payload["authors"]), len(payload["summary"])) == (10, 500)
+    assert (len(payload["authors"]), len(payload["summary"])) == (30, 600)
     assert feed["No authors"]["signal_strength"] == 1 / 20
     assert feed["No authors"]["event_timestamp"] == INGEST_TIME
 

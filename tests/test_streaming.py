@@ -16,8 +16,9 @@ def test_kafka_options():
     options = source.kafka_options("broker:9092")
     assert options["subscribe"] == "wiki_pageviews,wiki_changes,gdelt_events,arxiv_papers"
     assert options["startingOffsets"] == "latest"
-    assert options["failOnDataLoss"] == "false"
-    assert options["maxOffsetsPerTrigger"] == "50000"
+    assert options["failOnDataLoss"] == "true"
+    assert "maxOffsetsPerTrigger" not in options
+    assert source.kafka_options("b", max_offsets=7)["maxOffsetsPerTrigger"] == "7"
 
 
 def test_malformed_message_becomes_an_all_null_row(spark):
@@ -92,6 +93,25 @@ def test_stream_dedupe_across_batches(spark):
     assert got == ["a", "b", "c", "m", "n"]
 
 
+def test_late_events_pass_the_stream_dedupe(spark):
+    landed, out = shared_dir(spark, "delivered"), shared_dir(spark, "distinct")
+    start = dt.datetime(2024, 1, 10)
+    batches = [[("a", 0)], [("b", -5), ("a", 0)], [("c", 3)], [("d", -9), ("b", -5), ("c", 3)]]
+    for rows in batches:
+        spark.createDataFrame(
+            [(i, start + dt.timedelta(days=d)) for i, d in rows],
+            "event_id string, event_timestamp timestamp",
+        ).coalesce(1).write.mode("append").parquet(landed)
+    events = spark.readStream.schema("event_id string, event_timestamp timestamp").option(
+        "maxFilesPerTrigger", 1).parquet(landed)
+    query = (enrich.dedupe_stream(events).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", shared_dir(spark, "offsets"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 4
+    assert sorted(r[0] for r in spark.read.parquet(out).select("event_id").collect()) == list("abcd")
+
+
 def test_await_any_reports_a_failed_query(spark, sf_dir):
     landed = shared_dir(spark, "messages")
     inputs.messages(spark, sf_dir).coalesce(1).write.parquet(landed)

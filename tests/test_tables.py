@@ -2,10 +2,13 @@
 
 import datetime as dt
 import os
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import columns, inputs
+from lumentide import session
 from lumentide.operators import aggregate, dashboard, fact, metrics, normalise
 from lumentide.operators.selection import dedupe_events
 from lumentide.plans import daily
@@ -52,7 +55,8 @@ def test_lake_files_lacking_columns(spark):
     old.write.partitionBy("event_date").parquet(lake)
     old.withColumn("topic", F.lit("t")).write.mode("append").partitionBy("event_date").parquet(lake)
     for merge in (False, True):
-        got = tables.load_lake_to_raw(spark, lake, f"{raw}-{merge}", merge_schema=merge)
+        got = tables.load_lake_to_raw(
+            spark, lake, f"{raw}-{merge}", f"{raw}-{merge}-loaded", merge_schema=merge)
         assert got.count() == 6 and got.filter("topic = 't'").count() == 3
         assert got.schema["signal_strength"].dataType.simpleString() == "double"
 
@@ -138,7 +142,7 @@ def test_enrichment_is_native_and_narrow(spark, sf_dir, plan):
 
 
 def test_hot_groups_shrink_before_the_shuffle(spark, sf_dir, plan):
-    pages = plan(normalise.normalise_wiki_pageviews(inputs.pageviews(spark, sf_dir)))
+    pages = plan(normalise.normalise_wiki_pageviews(inputs.pageviews(spark, sf_dir), top_n=200))
     assert pages.count("WindowGroupLimit") >= 4
     assert "WindowGroupLimit" in plan(dedupe_events(inputs.raw_events(spark, sf_dir)))
 
@@ -180,3 +184,76 @@ def test_levels_need_a_single_grouping(spark, sf_dir, plan):
     text = plan(metrics.consciousness_level_daily(
         fact.fact_from_raw(raw_table(spark, sf_dir), AS_OF)))
     assert text.count("hashpartitioning") == 1 and "Join" not in text
+
+
+def test_a_load_reads_new_files_only(spark, sf_dir):
+    lake, raw, loaded = (shared_dir(spark, p) for p in ("lake", "raw", "loaded"))
+    events = inputs.raw_events(spark, sf_dir).withColumn(
+        "signal_strength", F.col("signal_strength").cast("float"))
+    counts = []
+    for days in ("> '2024-01-10'", None, "<= '2024-01-10'"):
+        if days:
+            events.filter(f"event_date {days}").coalesce(1).write.mode("append") \
+                .partitionBy("event_date").parquet(lake)
+        query = tables.start_lake_load(spark, lake, raw, loaded)
+        query.awaitTermination()
+        counts.append(sum(p["numInputRows"] for p in query.recentProgress))
+    assert counts[1] == 0 and counts[0] + counts[2] == 1000
+    assert tables.read_raw(spark, raw).count() == 1000
+
+
+def test_compaction_bounds_directories_and_keeps_rows(spark, sf_dir):
+    raw = shared_dir(spark, "raw")
+    events = inputs.raw_events(spark, sf_dir)
+    for part in range(3):
+        tables.append_backfill(events.filter(f"event_id % 3 = {part}"), raw)
+    before = tables.read_raw(spark, raw)
+    expected = before.select("event_id", "event_date", "topic").collect()
+    days = tables.compact(spark, raw, dt.date(2024, 1, 20))
+    assert days[0] == "2024-01-01" and days[-1] == "2024-01-19"
+    assert all(len([b for b in os.listdir(f"{raw}/event_date={d}") if b.startswith("batch=")]) == 1
+               for d in days)
+    after = tables.read_raw(spark, raw).select("event_id", "event_date", "topic").collect()
+    assert sorted(map(str, after)) == sorted(map(str, expected))
+    assert tables.compact(spark, raw, dt.date(2024, 1, 20)) == []
+
+
+def test_a_failed_rebuild_leaves_the_table(spark, sf_dir):
+    path = shared_dir(spark, "fact")
+    good = fact.fact_from_raw(inputs.raw_events(spark, sf_dir), AS_OF)
+    tables.materialise(good, path)
+    try:
+        tables.materialise(good.withColumn("topic", F.raise_error(F.lit("on purpose"))
+                                           .cast("string")), path)
+        raise AssertionError("it should have failed")
+    except Exception as error:
+        assert "on purpose" in str(error)
+    same(tables.read_table(spark, path, good), good)
+
+
+def test_refresh_drops_vanished_days(spark, sf_dir):
+    events = inputs.raw_events(spark, sf_dir)
+    root = shared_dir(spark, "warehouse")
+    daily.rebuild_tables(events, root, AS_OF, raw_by_date=False)
+    less = events.filter("event_date <> '2024-01-27'")
+    refreshed = daily.refresh_tables(
+        less, root, AS_OF, since=dt.date(2024, 1, 25), raw_by_date=False)
+    same(refreshed.fact_attention_events, fact.fact_from_raw(less, AS_OF))
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[2,1,1024]"])
+def test_no_scratch_on_the_drivers_machine(monkeypatch, master):
+    monkeypatch.setattr(session, "_checkpoint_dir", lambda spark: None)
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(ValueError, match="shared folder"):
+        session.shared_dir(cluster, "x")
+    assert session.shared_dir(cluster, "x", "s3://bucket/s/").startswith("s3://bucket/s/x-")
+    monkeypatch.setattr(session, "_checkpoint_dir", lambda spark: "hdfs:///shared")
+    assert session.shared_dir(cluster, "x").startswith("hdfs:///shared/x-")
+
+
+def test_rows_without_an_id_all_stay(spark):
+    rows = [(None, "a", 1), (None, "b", 1), ("x", "c", 1), ("x", "c", 2)]
+    df = spark.createDataFrame(rows, "event_id string, topic string, ingested_at int")
+    got = sorted(r["topic"] for r in dedupe_events(df, first_by=("ingested_at",)).collect())
+    assert got == ["a", "b", "c"]
