@@ -118,13 +118,13 @@ def known_licences(spark: SparkSession, texts: DataFrame | None = None) -> DataF
 
 def license_scan(
     docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    broadcast_rows: int = 100_000,
+    broadcast_rows: int = 100_000, most_blocks: int = 3,
 ) -> DataFrame:
     """The known licence texts that a document is, or that one of its blocks or lines is.
 
     One row per document: `id_col`, `license` (of the whole text, else NULL), `notices` (the
-    licences of blocks between blank lines and of lines, sorted and distinct) and
-    `n_notices`. Every compared text is whole: canonical digests are hash-joined to the known
+    licences of lines and of up to `most_blocks` consecutive blocks between blank lines, sorted
+    and distinct) and `n_notices`. Every compared text is whole: canonical digests are hash-joined to the known
     ones, which are broadcast up to `broadcast_rows` rows (counted first) and shuffled beyond.
     Digests leave the scan, never texts; hits are brought together by document.
 
@@ -142,8 +142,10 @@ def license_scan(
             rows, whole, digests = [], [], []
             for row, text in enumerate(utf8(batch.column(1))):
                 own = {digest(line) for line in text.split(b"\n")}
-                if b"\n" in text:
-                    own |= {digest(block) for block in re.split(rb"\n[ \t\r]*\n", text)}
+                blocks = re.split(rb"\n[ \t\r]*\n", text)
+                for k in range(1, min(most_blocks, len(blocks)) + 1):
+                    own |= {digest(b"\n".join(blocks[i:i + k]))
+                            for i in range(len(blocks) - k + 1)}
                 full = digest(text)
                 own.discard(empty)
                 rows += [row] * (len(own) + (full != empty))

@@ -24,7 +24,7 @@ from lumentide.llm.common import with_arrow_columns
 
 SPACE = "▁"
 #: Chunks whose best segmentation a worker remembers.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 #: What a character without any piece costs beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -217,10 +217,12 @@ _CHANGES = T.ArrayType(T.StructType([
 
 def encode_pieces(
     docs: DataFrame, model_path: str, n_best: int = 4, text_col: str = "text",
+    verify: bool = False,
 ) -> DataFrame:
     """Add `ids` (best segmentation) and `n_best` (scores, and what each changes in `ids`).
 
-    An input column of one of these names is replaced. Narrow: every text is encoded whole
+    With `verify` also `round_trip`: whether decoding the ids gives the text again, in the
+    same pass, so that neither ids nor texts travel to a second one. An input column of one of these names is replaced. Narrow: every text is encoded whole
     where it is; a worker remembers the frequent chunks, a bounded number of them. A word
     without white space is one chunk whatever its length; its lattice has at most as many
     edges as its length times the longest piece.
@@ -234,21 +236,24 @@ def encode_pieces(
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         lattice = PieceLattice.of(model_path)
-        ids, ways = [], []
+        ids, ways, same = [], [], []
         for text in texts.to_pylist():
             own, scores, changes = lattice.encode(text or "", n_best)
             ids.append(own)
+            if verify:
+                same.append(lattice.decode(own) == (text or ""))
             ways.append([
                 {"score": s, "changes": [{"at": a, "n": n, "ids": list(i)} for a, n, i in c]}
                 for s, c in zip(scores, changes)])
         offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
         flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32())),
-                pa.array(ways, to_arrow_type(_CHANGES))]
+                pa.array(ways, to_arrow_type(_CHANGES)), *([pa.array(same, pa.bool_())] * verify)]
 
     return with_arrow_columns(
         docs, compute, [text_col],
-        [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_best", _CHANGES)])
+        [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_best", _CHANGES),
+         *([T.StructField("round_trip", T.BooleanType())] * verify)])
 
 
 def decode_pieces(

@@ -11,7 +11,7 @@ from lumentide.llm.common import table, written
 from lumentide.llm.decontaminate import decontaminate
 from lumentide.llm.licences import known_licences, license_scan
 from lumentide.llm.lines import line_dedup
-from lumentide.llm.pieces import decode_pieces, encode_pieces
+from lumentide.llm.pieces import encode_pieces
 from lumentide.llm.quality import adaptive_bounds, judged, with_base_measures
 from lumentide.llm.simhash import simhash_dedup
 from lumentide.llm.spans import sentence_span_dedup
@@ -203,13 +203,12 @@ def _(spark, sf_dir):
 @register("op7_sentencepiece")
 def _(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = decode_pieces(
-        encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
-    return coded.select(
+    return encode_pieces(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), model, verify=True
+    ).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"),
-        F.col("n_best.score").alias("scores"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+        F.col("n_best.score").alias("scores"), "round_trip")
 
 
 @register("op3_sentence_spans")
