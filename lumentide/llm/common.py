@@ -68,8 +68,20 @@ def utf8(texts: pa.Array) -> list[bytes]:
     return [b if b is not None else b"" for b in texts.cast(pa.binary()).to_pylist()]
 
 
+#: Lets a job's shuffle files go when it ends, rather than when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Write `df` to the cluster's shared folder and read it back: cuts the lineage."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write `df` to the cluster's shared folder and read it back: cuts the lineage.
+
+    Nothing reads the job's shuffle files again, so they go with it.
+    """
+    spark = df.sparkSession
+    path, before = shared_dir(spark, purpose), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

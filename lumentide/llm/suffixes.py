@@ -20,12 +20,16 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from lumentide.llm.common import utf8, with_arrow_columns, written
 from lumentide.llm.sais import common_prefixes, suffix_array
+from lumentide.session import remove_dir
 
 #: Length of the hashed strings, and the most windows in one run.
 GRAM, MOST = 20, 64
 _MIX = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_OTHER = np.random.default_rng(21).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 NOWHERE = -(1 << 63)
+TOLD = NOWHERE + 1
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -51,27 +55,81 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return made
 
 
-def runs(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, number of windows and hash of the runs of a text, in order."""
+def _powers(base: int, n: int) -> np.ndarray:
+    row = np.full(n, base, np.uint64)
+    row[0] = 1
+    return np.multiply.accumulate(row)
+
+
+_POWERS = (_powers(_BASE, 1 << 17), _powers(_INVERSE, 1 << 17))
+
+
+def _checks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes between `starts` and `ends`, from one running sum."""
+    n = len(data) + 1
+    up, down = (p[:n] if n <= len(p) else _powers(b, n)
+                for p, b in zip(_POWERS, (_BASE, _INVERSE)))
+    total = np.zeros(n, np.uint64)
+    np.cumsum(_OTHER[data] * up[:-1], out=total[1:])
+    return (total[ends] - total[starts]) * down[starts]
+
+
+def _runs(data: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, length: int):
+    """Text, start in it, number of windows, hash and check of the runs of texts laid end to end."""
     n = len(data) - length + 1
-    if n < 1:
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64)
     low, span, want = _gram_hashes(data), 1, length - GRAM + 1
     while 2 * span <= want:
         low = np.minimum(low[:-span], low[span:])
         span *= 2
     if want > span:
         low = np.minimum(low[:len(low) - (want - span)], low[want - span:])
-    starts = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
-    sizes = np.diff(np.append(starts, n))
-    if sizes.max() > MOST:  # periodic text: cut its runs, each window stays in one
-        times = -(-sizes // MOST)
+    begin = np.empty(n, bool)
+    begin[0] = True
+    np.not_equal(low[1:], low[:-1], out=begin[1:])
+    # A run ends with its text; windows across two texts are nobody's.
+    begin[offsets[offsets < n]] = True
+    ends = offsets + sizes - length + 1
+    begin[ends[ends < n]] = True
+    starts = np.flatnonzero(begin)
+    counts = np.diff(np.append(starts, n))
+    of = np.searchsorted(offsets, starts, side="right") - 1
+    inside = starts < ends[of]
+    starts, counts, of = starts[inside], counts[inside], of[inside]
+    if len(counts) and counts.max() > MOST:  # periodic text: each window stays in one piece
+        times = -(-counts // MOST)
         row = np.repeat(np.arange(len(starts)), times)
         k = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-        sizes = np.minimum(MOST, sizes[row] - k * MOST)
-        starts = starts[row] + k * MOST
-    return starts, sizes, low[starts]
+        counts = np.minimum(MOST, counts[row] - k * MOST)
+        starts, of = starts[row] + k * MOST, of[row]
+    checks = _checks(data, starts, starts + counts + length - 1)
+    return of, starts - offsets[of], counts, low[starts], checks
+
+
+def runs(texts: list[bytes], length: int, piece: int = 1 << 16):
+    """Text, start, number of windows, hash and check of the runs of all texts, in order.
+
+    The hash is that of the run's windows, the check is one of all its bytes.
+
+    Texts are taken together up to `piece` bytes, so that short ones cost no more per byte
+    than long ones and the arrays stay in the processor's cache.
+    """
+    long = [(i, t) for i, t in enumerate(texts) if len(t) >= length]
+    made, at = [], 0
+    while at < len(long):
+        end, held = at, 0
+        while end < len(long) and (end == at or held + len(long[end][1]) <= piece):
+            held += len(long[end][1])
+            end += 1
+        sizes = np.array([len(t) for _, t in long[at:end]])
+        offsets = np.cumsum(sizes) - sizes
+        of, *rest = _runs(
+            np.frombuffer(b"".join(t for _, t in long[at:end]), np.uint8), offsets, sizes, length)
+        made.append((np.array([i for i, _ in long[at:end]])[of], *rest))
+        at = end
+    if not made:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+    return tuple(np.concatenate(c) for c in zip(*made))
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -83,158 +141,154 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def shared_runs(source: DataFrame, length: int, bucket_bytes: int = 16 << 20) -> DataFrame:
     """`_doc` and `run` (its place in the document) of the runs whose hash is in two documents.
 
-    A superset is harmless: digests are cut to 6 bytes besides the bucket, and a hash that
-    comes in two Arrow batches counts as shared. Each task sends, by bucket of the hash, its
-    batch's digests with documents and places packed into one value. Runs already known to
-    be shared, by two documents of the same batch, are put out at once, and only one
-    digest of them goes on to tell other tasks; so does a hash with many runs in a
-    document. A frequent line or a group of copies thus sends a digest per batch, and the
-    number of buckets follows the measured size of the texts.
+    Of the runs with the same bytes one also has `low` and `high`, the smallest and largest
+    document holding them: it is the one to send its bytes. A superset is harmless: hashes
+    are cut to 6 bytes besides the bucket. Each task sends, by bucket of the hash, its
+    batch's hashes and checks with documents and places packed into one value. A hash with
+    more than MOST runs in a batch is put out at once, and one of its runs goes on to tell
+    the others, so that a frequent line sends a bounded number from each batch; the number
+    of buckets follows the measured size of the texts.
     """
     total = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     packed = T.StructType([
         T.StructField("bucket", T.LongType()), T.StructField("found", T.BooleanType()),
-        T.StructField("n", T.IntegerType()), T.StructField("digests", T.BinaryType()),
-        T.StructField("docs", T.BinaryType()), T.StructField("counts", T.BinaryType()),
-        T.StructField("places", T.BinaryType())])
+        T.StructField("n", T.IntegerType()), T.StructField("hashes", T.BinaryType()),
+        T.StructField("checks", T.BinaryType()), T.StructField("docs", T.BinaryType()),
+        T.StructField("counts", T.BinaryType()), T.StructField("places", T.BinaryType())])
+
+    def cut(values: np.ndarray) -> bytes:
+        return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
-    def pack(bucket: int, found: bool, digests, docs, places) -> dict:
+    def whole(data: bytes, n: int) -> np.ndarray:
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+        return wide.view("<u8").reshape(-1)
+
+    def pack(bucket: int, found: bool, hashes, checks, docs, places) -> dict:
         edge = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
-        low = digests.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        return {"bucket": bucket, "found": found, "n": len(docs), "digests": low.tobytes(),
-                "docs": docs[edge].astype("<i8").tobytes(),
+        return {"bucket": bucket, "found": found, "n": len(docs), "hashes": cut(hashes),
+                "checks": cut(checks), "docs": docs[edge].astype("<i8").tobytes(),
                 "counts": np.diff(np.append(edge, len(docs))).astype("<u4").tobytes(),
                 "places": places.astype("<u4").tobytes()}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            held = []
-            for doc, text in zip(ids, utf8(batch.column(1))):
-                hashes = runs(np.frombuffer(text, np.uint8), length)[2]
-                if len(hashes):
-                    held.append((np.full(len(hashes), doc, np.int64), hashes))
-            if not held:
+            of, _, _, hashes, checks = runs(utf8(batch.column(1)), length)
+            if not len(of):
                 continue
-            docs, hashes = (np.concatenate(c) for c in zip(*held))
-            places = np.concatenate([np.arange(len(h)) for _, h in held])
+            docs = ids[of]
+            places = np.arange(len(of)) - np.searchsorted(of, np.arange(len(ids)))[of]
+            bucket = ((hashes >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(hashes, kind="stable")
-            sorted_hashes, sorted_docs = hashes[order], docs[order]
-            edge = np.flatnonzero(np.append(True, sorted_hashes[1:] != sorted_hashes[:-1]))
+            edge = np.flatnonzero(np.append(True, hashes[order][1:] != hashes[order][:-1]))
             size = np.diff(np.append(edge, len(order)))
-            several = (np.minimum.reduceat(sorted_docs, edge)
-                       != np.maximum.reduceat(sorted_docs, edge)) | (size > MOST)
-            known = np.empty(len(order), bool)
-            known[order] = np.repeat(several, size)
-            rows = []
-            if known.any():
-                at = np.flatnonzero(known)
-                rows.append(pack(int(ids[0]) % buckets, True, hashes[at], docs[at], places[at]))
-                one = order[edge[several]]
-                unknown = np.sort(np.concatenate([np.flatnonzero(~known), one]))
-            else:
-                unknown = np.arange(len(docs))
-            bucket = ((hashes[unknown] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(bucket, kind="stable")
+            hot = np.empty(len(order), bool)
+            hot[order] = np.repeat(size > MOST, size)
+            rows, rest = [], np.arange(len(docs))
+            if hot.any():
+                at = np.flatnonzero(hot)
+                rows.append(pack(int(ids[0]) % buckets, True, hashes[at], checks[at], docs[at], places[at]))
+                rest = np.sort(np.concatenate([np.flatnonzero(~hot), order[edge[size > MOST]]]))
+            by = rest[np.argsort(bucket[rest], kind="stable")]
             cuts = np.flatnonzero(np.append(True, bucket[by][1:] != bucket[by][:-1]))
             for a, b in zip(cuts, np.append(cuts[1:], len(by))):
-                at = unknown[by[a:b]]
-                # A representative of a known hash carries no document: its runs are out.
-                rows.append(pack(int(bucket[by[a]]), False, hashes[at],
-                                 np.where(known[at], NOWHERE + 1, docs[at]), places[at]))
+                at = by[a:b]
+                # The one run of a hot hash carries no document: its runs are out.
+                rows.append(pack(int(bucket[at[0]]), False, hashes[at], checks[at],
+                                 np.where(hot[at], TOLD, docs[at]), places[at]))
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
+    def chosen(hashes, checks, docs, places, all_shared: bool) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((docs, checks, hashes))
+        h, c, d = hashes[order], checks[order], docs[order]
+        new_hash = np.append(True, h[1:] != h[:-1])
+        edge = np.flatnonzero(new_hash)
+        size = np.diff(np.append(edge, len(h)))
+        shared = np.full(len(edge), True) if all_shared else (
+            np.minimum.reduceat(d, edge) != np.maximum.reduceat(d, edge))
+        keep = np.repeat(shared, size) & (d != TOLD)
+        if not keep.any():
+            return
+        h, c, d, p = h[keep], c[keep], d[keep], places[order][keep]
+        start = np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1]))
+        edge = np.flatnonzero(start)
+        high = np.zeros(len(d), np.int64)
+        high[edge] = np.maximum.reduceat(d, edge)
+        for a in range(0, len(d), 100_000):
+            at = slice(a, a + 100_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(d[at]), pa.array(p[at].astype(np.int32)),
+                 pa.array(d[at], mask=~start[at]), pa.array(high[at], mask=~start[at])],
+                names=result.names)
+
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, places = [], []
-        hashes, of, at, batch_no = [], [], [], []
-        count = 0
+        held = []
         for batch in batches:
             for row in batch.to_pylist():
                 own = np.repeat(np.frombuffer(row["docs"], "<i8"),
                                 np.frombuffer(row["counts"], "<u4").astype(np.int64))
-                place = np.frombuffer(row["places"], "<u4")
+                columns = (whole(row["hashes"], row["n"]), whole(row["checks"], row["n"]), own,
+                           np.frombuffer(row["places"], "<u4"))
                 if row["found"]:
-                    yield out(own, place)
-                    continue
-                wide = np.zeros((row["n"], 8), np.uint8)
-                wide[:, :6] = np.frombuffer(row["digests"], np.uint8).reshape(-1, 6)
-                hashes.append(wide.view("<u8").reshape(-1))
-                of.append(own)
-                at.append(place)
-                batch_no.append(np.full(row["n"], count, np.int32))
-                count += 1
-        if hashes:
-            hashes, docs, places, no = map(np.concatenate, (hashes, of, at, batch_no))
-            order = np.argsort(hashes, kind="stable")
-            h, no = hashes[order], no[order]
-            edge = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-            several = np.minimum.reduceat(no, edge) != np.maximum.reduceat(no, edge)
-            # A representative is known to be shared, also within its own batch.
-            several |= np.minimum.reduceat(
-                np.where(docs[order] == NOWHERE + 1, 0, 1), edge) == 0
-            found = order[np.repeat(several, np.diff(np.append(edge, len(h))))]
-            found = found[docs[found] != NOWHERE + 1]
-            for a in range(0, len(found), 100_000):
-                yield out(docs[found[a:a + 100_000]], places[found[a:a + 100_000]])
-
-    result = T.StructType([T.StructField("_doc", T.LongType()), T.StructField("run", T.IntegerType())])
-
-    def out(docs: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(docs, pa.int64()), pa.array(places.astype(np.int32), pa.int32())],
-            names=["_doc", "run"])
+                    yield from chosen(*columns, True)
+                else:
+                    held.append(columns)
+        if held:
+            yield from chosen(*(np.concatenate(c) for c in zip(*held)), False)
 
+    result = T.StructType([
+        T.StructField("_doc", T.LongType()), T.StructField("run", T.IntegerType()),
+        T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(packed)
     return source.mapInArrow(send, packed).groupBy("bucket").applyInArrow(match, result)
 
 
+def context_digest(body: bytes) -> bytes:
+    """96 bits that stand for the bytes of a context."""
+    return xxhash.xxh3_128_digest(body)[:12]
+
+
 def contexts(source: DataFrame, shared: DataFrame, length: int) -> DataFrame:
-    """A row per shared run: `key` (its hash), `digest` and, once in an Arrow batch, `context`.
+    """A row per shared run: its document, `start` and `digest`.
 
-    With the bytes come `low` and `high`, the smallest and the largest document in this batch
-    that holds them.
+    Those chosen to send their bytes also have `key` (the hash), `context`, `low` and `high`.
     """
-    wanted = shared.groupBy("_doc").agg(F.collect_set("run").alias("_runs"))
+    wanted = shared.groupBy("_doc").agg(
+        F.collect_list(F.struct("run", "low", "high")).alias("_runs"))
     met = source.join(wanted, "_doc").select("_doc", "_text", "_runs", "_tag")
     schema = T.StructType([
         T.StructField("_doc", T.LongType()), T.StructField("_tag", T.LongType()),
-        T.StructField("start", T.LongType()), T.StructField("key", T.LongType()), T.StructField("digest", T.BinaryType()),
-        T.StructField("context", T.BinaryType()), T.StructField("low", T.LongType()),
-        T.StructField("high", T.LongType())])
+        T.StructField("start", T.LongType()), T.StructField("digest", T.BinaryType()),
+        T.StructField("key", T.LongType()), T.StructField("context", T.BinaryType()),
+        T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            docs, tags, at, keys, digests, bodies = [], [], [], [], [], []
-            first: dict[bytes, int] = {}
-            low, high = [], []
-            for doc, text, own, tag in zip(ids, utf8(batch.column(1)), batch.column(2).to_pylist(),
-                                           batch.column(3).to_pylist()):
-                starts, sizes, hashes = runs(np.frombuffer(text, np.uint8), length)
-                own = np.sort(np.array(own, np.int64))
-                own = own[own < len(starts)]  # of another row with this id
-                for a, n, key in zip(starts[own].tolist(), sizes[own].tolist(),
-                                     hashes[own].view(np.int64).tolist()):
-                    body = text[a:a + n + length - 1]
-                    digest = xxhash.xxh3_128_digest(body)
-                    row = first.setdefault(digest, len(docs))
-                    docs.append(doc)
-                    tags.append(tag)
-                    at.append(a)
-                    keys.append(key)
-                    digests.append(digest)
-                    bodies.append(body if row == len(docs) - 1 else None)
-                    low.append(doc)
-                    high.append(doc)
-                    low[row] = min(low[row], doc)
-                    high[row] = max(high[row], doc)
+            texts = utf8(batch.column(1))
+            of, starts, sizes, hashes, _ = runs(texts, length)
+            begins = np.searchsorted(of, np.arange(len(texts) + 1))
+            lists = batch.column(2)
+            fields, cuts = lists.flatten(), lists.offsets.to_numpy()
+            cuts = cuts - cuts[0]
+            row_of = np.repeat(np.arange(len(texts)), np.diff(cuts))
+            at = begins[row_of] + fields.field(0).to_numpy()
+            # Places beyond the text's runs are those of another row with this id.
+            inside = np.flatnonzero(at < begins[row_of + 1])
+            at, row_of = at[inside], row_of[inside]
+            low, high = (fields.field(i).take(pa.array(inside)) for i in (1, 2))
+            sends = low.is_valid().to_pylist()
+            a = starts[at]
+            bodies = [texts[r][x:y] for r, x, y in zip(
+                row_of.tolist(), a.tolist(), (a + sizes[at] + length - 1).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(tags, pa.int64()), pa.array(at, pa.int64()),
-                 pa.array(keys, pa.int64()),
-                 pa.array(digests, pa.binary()), pa.array(bodies, pa.binary()),
-                 pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=schema.names)
+                [batch.column(0).take(pa.array(row_of)), batch.column(3).take(pa.array(row_of)),
+                 pa.array(a), pa.array(map(context_digest, bodies), pa.binary()),
+                 pa.array(hashes[at].view(np.int64), mask=~np.array(sends, bool)),
+                 pa.array([b if s else None for b, s in zip(bodies, sends)], pa.binary()),
+                 low, high], names=schema.names)
 
     return met.mapInArrow(run, schema)
 
@@ -274,8 +328,8 @@ _SPANS = T.ArrayType(T.StructType([
 def sorted_shards(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     """`digest` and `spans`: runs of windows (`at`, `n`) that also start in document `low`.
 
-    `distinct` has `key`, `digest`, `context`, `low`, `high`. Rows arrive sorted by key and
-    are cut into shards of about `shard_bytes` between two keys.
+    `distinct` has `key`, `context`, `low`, `high`. Rows arrive sorted by key and are cut into
+    shards of about `shard_bytes` between two keys.
     """
     schema = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("spans", _SPANS)])
 
@@ -308,7 +362,8 @@ def sorted_shards(distinct: DataFrame, length: int, shard_bytes: int) -> DataFra
         rows: dict[bytes, list] = {}
         held, last = 0, None
         for batch in batches:
-            for key, digest, body, low, high in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, body, low, high in zip(*(c.to_pylist() for c in batch.columns)):
+                digest = context_digest(body)
                 if held >= shard_bytes and key != last:
                     made = solve(rows)
                     if made is not None:
@@ -327,7 +382,7 @@ def sorted_shards(distinct: DataFrame, length: int, shard_bytes: int) -> DataFra
                 yield made
 
     return (
-        distinct.select("key", "digest", "context", "low", "high")
+        distinct.select("key", "context", "low", "high")
         .repartition("key").sortWithinPartitions("key").mapInArrow(run, schema))
 
 
@@ -362,11 +417,11 @@ def substring_dedup(
     input column of one of these names is replaced. Ids are cast to bigint. Overlaps count,
     and strings are judged on the input. Matches never cross documents.
 
-    Three tables are written to the shared folder on the way: the shared runs, their
-    contexts, and the spans found; each job's shuffle files can go when it ends. A hash
-    whose contexts hold more than `hot_bytes` is not sorted in one shard but resolved window
-    by window, with the same result. A context in thousands of documents is one row per
-    batch in its shard, and the join back to the documents is an equi-join that AQE splits.
+    Three tables are written to the shared folder on the way: the shared runs (removed once
+    read), their contexts, and the spans found; each job's shuffle files go when it ends. A
+    hash whose contexts hold more than `hot_bytes` is not sorted in one shard but resolved
+    window by window, with the same result. The bytes of a context in thousands of documents
+    are sent once, and the join back to the documents is an equi-join that AQE splits.
 
     NULL and empty texts have no bytes. Rows of one id are one document: none removes
     anything from another, and a string that starts in any of them counts for larger ids.
@@ -375,6 +430,8 @@ def substring_dedup(
     source = _source(docs, id_col, text_col)
     found = written(shared_runs(source, length), "shared-runs")
     held = written(contexts(source, found, length), "contexts")
+    for path in {f.rpartition("/")[0] for f in found.inputFiles()[:1]}:
+        remove_dir(docs.sparkSession, path)  # nothing reads it any more
     distinct = held.filter(F.col("context").isNotNull())
     hot = (
         distinct.groupBy("key").agg(F.sum(F.octet_length("context")).alias("_bytes"))
