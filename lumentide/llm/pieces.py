@@ -24,7 +24,7 @@ from lumentide.llm.common import with_arrow_columns
 
 SPACE = "▁"
 #: Chunks whose best segmentation a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 900_000
 #: What a character without any piece costs beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -58,7 +58,7 @@ class PieceLattice:
         crossing = [p for p in self.ids if SPACE in p.lstrip(SPACE) or "\n" in p and len(p) > 1]
         if crossing:
             raise ValueError(f"pieces across white space: {crossing[:3]}")
-        self.known: dict[str, tuple[bytes, float, float]] = {}
+        self.known: dict[str, bytes] = {}
         self.ways = lru_cache(maxsize=20_000)(self.n_best)
 
     @staticmethod
@@ -68,28 +68,70 @@ class PieceLattice:
         return PieceLattice(path)
 
     def _forward(self, chunk: str):
-        """Edges by the place where they end, and the two best scores up to every place."""
-        size, begins = len(chunk), self.begins
+        """Edges by the place where they end, the two best scores up to every place, and the
+        edge by which the best comes there; of equal ones the longest."""
+        size, get = len(chunk), self.begins.get
         edges: list[list[tuple[int, tuple]]] = [[] for _ in range(size + 1)]
         best, second = [0.0] + [-np.inf] * size, [-np.inf] * (size + 1)
+        back: list[tuple | None] = [None] * (size + 1)
         for i in range(size):
             here, other = best[i], second[i]
-            for j in range(i + 1, size + 1):
-                found = begins.get(chunk[i:j], 0)
-                if not found:
-                    if j > i + 1:
-                        if found is None:  # no piece, but the beginning of one
-                            continue
-                        break
-                    found = (self._unknown(chunk[i]), self.unknown[1])
-                edges[j].append((i, found))
-                score = here + found[1]
-                if score > best[j]:
-                    second[j] = max(best[j], other + found[1])
-                    best[j] = score
-                elif score > second[j]:
-                    second[j] = score
-        return edges, best, second
+            j = i + 1
+            found = get(chunk[i:j]) or (self._unknown(chunk[i]), self.unknown[1])
+            while True:
+                if found:
+                    edge = (i, found)
+                    edges[j].append(edge)
+                    score = here + found[1]
+                    if score > best[j]:
+                        also = other + found[1]
+                        second[j] = best[j] if best[j] > also else also
+                        best[j], back[j] = score, edge
+                    elif score > second[j]:
+                        second[j] = score
+                j += 1
+                if j > size:
+                    break
+                found = get(chunk[i:j], 0)
+                if found == 0:  # not even the beginning of a piece
+                    break
+        return edges, best, second, back
+
+    def _best(self, chunk: str) -> tuple[float, float, list[int]]:
+        """The forward pass without edges: best score, what the second best lacks, best ids."""
+        size, get = len(chunk), self.begins.get
+        worst = -np.inf
+        best, second = [worst] * (size + 1), [worst] * (size + 1)
+        best[0] = 0.0
+        came, by = [0] * (size + 1), [None] * (size + 1)
+        for i in range(size):
+            here, other = best[i], second[i]
+            j = i + 1
+            found = get(chunk[i:j]) or (self._unknown(chunk[i]), self.unknown[1])
+            while True:
+                if found:
+                    score = here + found[1]
+                    if score > best[j]:
+                        also = other + found[1]
+                        second[j] = best[j] if best[j] > also else also
+                        best[j], came[j], by[j] = score, i, found[0]
+                    elif score > second[j]:
+                        second[j] = score
+                j += 1
+                if j > size:
+                    break
+                found = get(chunk[i:j], 0)
+                if found == 0:
+                    break
+        at, ids = size, []
+        while at:
+            piece = by[at]
+            if isinstance(piece, tuple):
+                ids += piece[::-1]
+            else:
+                ids.append(piece)
+            at = came[at]
+        return best[size], best[size] - second[size], ids[::-1]
 
     def n_best(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The `n` best segmentations of a chunk, best first, as scores and ids.
@@ -97,7 +139,7 @@ class PieceLattice:
         Of equal scores that of the forward pass comes first. Characters without a piece are
         taken byte by byte, or as the unknown piece in a model without bytes.
         """
-        edges, best, _ = self._forward(chunk)
+        edges, best, _, back = self._forward(chunk)
         size = len(chunk)
         made: list[tuple[float, tuple[int, ...]]] = []
         count = 0
@@ -117,37 +159,43 @@ class PieceLattice:
             for i, (piece, score) in edges[at]:
                 count += 1
                 push(heap, (-(tail + score + best[i]), count, i, tail + score, (piece, path)))
-        first = (best[size], self._traced(edges, best))
+        first = (best[size], self._traced(back))
         made = [first, *(m for m in made if m != first)]
         return made[:n]
 
     @staticmethod
-    def _traced(edges: list, best: list[float]) -> tuple[int, ...]:
-        """The best path of the forward pass; of equal ones that with the longest last piece."""
-        at, path = len(best) - 1, []
+    def _traced(back: list) -> tuple[int, ...]:
+        """The best path of the forward pass."""
+        at, path = len(back) - 1, []
         while at:
-            at, piece = next((i, p) for i, (p, s) in edges[at] if best[i] + s == best[at])
-            path.append(piece)
-        return tuple(x for p in reversed(path) for x in (p if isinstance(p, tuple) else (p,)))
+            at, (piece, _) = back[at]
+            if isinstance(piece, tuple):
+                path += piece[::-1]
+            else:
+                path.append(piece)
+        return tuple(path[::-1])
 
     def _unknown(self, char: str) -> tuple[int, ...]:
         if self.byte_ids:
             return tuple(self.byte_ids[b] for b in char.encode())
         return (self.unknown[0],)
 
-    def chunk(self, chunk: str) -> tuple[bytes, float, float]:
-        """Best ids, their score, and how much the second best is worse."""
+    def chunk(self, chunk: str) -> bytes:
+        """Score of the best, how much the second best is worse, and the best ids, packed.
+
+        One object for each remembered chunk: what a frequent word costs is fetching it.
+        """
         found = self.known.get(chunk)
         if found is None:
             cuts = [k for k in range(1, len(chunk)) if chunk[k - 1:k + 1] not in self.joined]
             if cuts:  # as between a word and its full stop
                 parts = [self.chunk(chunk[a:b]) for a, b in zip([0, *cuts], [*cuts, len(chunk)])]
-                found = (b"".join(p[0] for p in parts), sum(p[1] for p in parts),
-                         min(p[2] for p in parts))
+                heads = [struct.unpack_from("<2d", p) for p in parts]
+                found = struct.pack("<2d", sum(h[0] for h in heads), min(h[1] for h in heads)) + (
+                    b"".join(p[16:] for p in parts))
             else:
-                edges, best, second = self._forward(chunk)
-                ids = self._traced(edges, best)
-                found = (struct.pack(f"<{len(ids)}i", *ids), best[-1], best[-1] - second[-1])
+                best, gap, ids = self._best(chunk)
+                found = struct.pack(f"<2d{len(ids)}i", best, gap, *ids)
             if len(self.known) < REMEMBERED:
                 self.known[chunk] = found
         return found
@@ -173,12 +221,18 @@ class PieceLattice:
         found = list(map(self.known.get, chunks))
         if None in found:
             found = [f or self.chunk(c) for f, c in zip(found, chunks)]
-        parts, bests, losses = zip(*found)
-        ids = np.frombuffer(b"".join(parts), "<i4")
-        score = float(sum(bests))
+        packed = np.frombuffer(b"".join(found), "<i4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        heads = np.cumsum(sizes) - sizes
+        sizes -= 4
+        body = np.ones(len(packed), bool)
+        for k in range(4):
+            body[heads + k] = False
+        ids = packed[body]
+        both = packed[heads[:, None] + np.arange(4)].copy().view("<f8")
+        score, gaps = float(both[:, 0].sum()), both[:, 1]
         if n == 1:
             return ids, [score], [[]]
-        gaps = np.array(losses)
         near = np.argsort(gaps, kind="stable")[:n - 1] if len(gaps) < 2 * n else np.sort(
             np.argpartition(gaps, n - 2)[:n - 1])
         ways: list[tuple[float, tuple]] = [(0.0, ())]
@@ -189,9 +243,9 @@ class PieceLattice:
             ways = heapq.nsmallest(n, (
                 (loss + own[0][0] - s, (*picks, (c, k)) if k else picks)
                 for loss, picks in ways for k, (s, _) in enumerate(own)))
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4
+        ends = np.cumsum(sizes)
         changes = [[
-            (int(ends[c]) - len(parts[c]) // 4, len(parts[c]) // 4, self.ways(chunks[c], n)[k][1])
+            (int(ends[c] - sizes[c]), int(sizes[c]), self.ways(chunks[c], n)[k][1])
             for c, k in sorted(picks)] for _, picks in ways]
         return ids, [score - loss for loss, _ in ways], changes
 
