@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lumentide.session import shared_dir
@@ -63,6 +64,22 @@ def on_own_columns(
         *[F.col(o).alias(c) for o, c in zip(own, docs.columns) if c not in add], *add)
 
 
+def cut_batches(
+    batches: Iterator[pa.RecordBatch], text_at: int, size: int = 4 << 20,
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut to about `size` bytes of text, one text at least, to bound memory."""
+    for batch in batches:
+        lengths = pc.binary_length(batch.column(text_at)).fill_null(0).to_numpy(zero_copy_only=False)
+        at, held = 0, 0
+        for i, n in enumerate(lengths.tolist()):
+            if i > at and held + n > size:
+                yield batch.slice(at, i - at)
+                at, held = i, 0
+            held += n
+        if at < batch.num_rows:
+            yield batch.slice(at)
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
     """The texts' bytes; NULL is the empty text."""
     return [b if b is not None else b"" for b in texts.cast(pa.binary()).to_pylist()]

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lumentide.llm.common import utf8, with_arrow_columns, written
+from lumentide.llm.common import cut_batches, utf8, with_arrow_columns, written
 from lumentide.llm.sais import common_prefixes, suffix_array
 from lumentide.session import remove_dir
 
@@ -138,7 +138,7 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_tag"))
 
 
-def shared_runs(source: DataFrame, length: int, bucket_bytes: int = 16 << 20) -> DataFrame:
+def shared_runs(source: DataFrame, length: int, bucket_bytes: int = 8 << 20) -> DataFrame:
     """`_doc` and `run` (its place in the document) of the runs whose hash is in two documents.
 
     Of the runs with the same bytes one also has `low` and `high`, the smallest and largest
@@ -173,7 +173,7 @@ def shared_runs(source: DataFrame, length: int, bucket_bytes: int = 16 << 20) ->
                 "places": places.astype("<u4").tobytes()}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in cut_batches(batches, 1):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             of, _, _, hashes, checks = runs(utf8(batch.column(1)), length)
             if not len(of):
@@ -266,7 +266,7 @@ def contexts(source: DataFrame, shared: DataFrame, length: int) -> DataFrame:
         T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in cut_batches(batches, 1):
             texts = utf8(batch.column(1))
             of, starts, sizes, hashes, _ = runs(texts, length)
             begins = np.searchsorted(of, np.arange(len(texts) + 1))
@@ -408,7 +408,7 @@ def by_windows(distinct: DataFrame, length: int) -> DataFrame:
 
 def substring_dedup(
     docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-    shard_bytes: int = 1 << 20, hot_bytes: int = 64 << 20,
+    shard_bytes: int = 1 << 19, hot_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Remove every byte covered by a `length`-byte string that starts in a smaller document too.
 
