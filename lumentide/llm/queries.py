@@ -213,7 +213,9 @@ def _(spark, sf_dir):
 
 @register("op3_sentence_spans")
 def _(spark, sf_dir):
-    return sentence_span_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return sentence_span_dedup(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), passage=48
+    ).select(
         "doc_id", "n_sentences", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

@@ -5,16 +5,22 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lumentide.llm.common import utf8, with_arrow_columns
+from lumentide.llm.common import cut_batches, utf8, with_arrow_columns, written
 
 #: A sentence with the white space behind it: up to a stop before white space, or a line.
 _SENTENCE = re.compile(rb"[^\n]*?[.!?]+[)\]\"']*(?:\s+|\Z)|[^\n]*\n\s*|[^\n]+\Z")
 _WORD = re.compile(rb"\S+\s*")
 
+#: Odd factor of the rolling hash, its inverse modulo 2^64, and a random value for each byte.
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
+_BYTES = np.random.default_rng(3).integers(0, 1 << 64, 256, np.uint64)
+
 
 def units(text: bytes, most_words: int) -> list[bytes]:
     """The text cut into sentences, longer ones after every `most_words` words; they add up to it."""
@@ -46,9 +52,70 @@ def span_digests(parts: list[bytes], span: int, least_words: int) -> list[tuple[
     return made
 
 
+def tokens(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words, lower-cased and one space apart, and where each begins and ends in that."""
+    flat = b" ".join(text.lower().split())
+    if not flat:
+        return flat, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    gaps = np.flatnonzero(np.frombuffer(flat, np.uint8) == 32)
+    return flat, np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(flat)]])
+
+
+def token_places(text: bytes, n: int) -> np.ndarray:
+    """Where each of the `n` tokens begins in the text itself, and the end of the text."""
+    raw = np.frombuffer(text, np.uint8)
+    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    assert len(starts) == n
+    return np.append(starts, len(text))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    made = np.full(n, base, np.uint64)
+    made[0] = 1
+    return np.multiply.accumulate(made)
+
+
+def anchors(text: bytes, passage: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the windows of `passage` // 2 tokens that stand for their surroundings.
+
+    They are the smallest by hash in every stretch of `passage` tokens, a choice that depends
+    on the stretch only: two copies of one, wherever they begin, have an anchor in common.
+    """
+    flat, starts, ends = tokens(text)
+    if len(starts) < passage:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    size = passage // 2
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(
+        _BYTES[np.frombuffer(flat, np.uint8)] * _powers(_FACTOR, len(flat)), dtype=np.uint64)])
+    first, last = starts[:len(starts) - size + 1], ends[size - 1:]
+    found = (sums[last] - sums[first]) * _powers(_INVERSE, len(flat))[first]
+    found ^= found >> np.uint64(32)
+    found *= np.uint64(0xD6E8FEB86659FD93)
+    found ^= found >> np.uint64(32)
+    wide = np.lib.stride_tricks.sliding_window_view(found, passage - size + 1)
+    at = np.unique(np.concatenate([
+        wide[k:k + 65536].argmin(axis=1) + np.arange(k, min(k + 65536, len(wide)))
+        for k in range(0, len(wide), 65536)]))
+    return at, found[at]
+
+
+def passage_digests(text: bytes, passage: int, near: np.ndarray) -> list[tuple[int, bytes]]:
+    """Place and digest of every stretch of `passage` tokens that holds one of the anchors `near`."""
+    flat, starts, ends = tokens(text)
+    most = len(starts) - passage + 1
+    back = passage - passage // 2
+    edges = np.zeros(len(starts) + passage + 1, np.int64)
+    np.add.at(edges, np.maximum(near - back, 0), 1)
+    np.add.at(edges, near + 1, -1)
+    at = np.flatnonzero(np.cumsum(edges)[:max(most, 0)] > 0)
+    return [(k, xxhash.xxh3_128_digest(flat[a:b])) for k, a, b in zip(
+        at.tolist(), starts[at].tolist(), ends[at + passage - 1].tolist())]
+
+
 def sentence_span_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
-    most_words: int = 16, least_words: int = 8,
+    most_words: int = 16, least_words: int = 8, passage: int | None = None,
 ) -> DataFrame:
     """Remove every sentence covered by a run of `span` sentences found earlier already.
 
@@ -61,14 +128,22 @@ def sentence_span_dedup(
     with stops or without. Runs of less than `least_words` words don't count. A-Z are
     lower-cased and white space is one space; the remaining text is left as it is.
 
-    Only 16-byte digests move: the first place of each is found by partial aggregation, the
-    join back is an equi-join that AQE splits where a passage is in very many documents. The
-    texts move once, to meet the runs they lose.
+    With `passage` also every stretch of so many consecutive words found earlier already goes,
+    wherever in its sentences it begins and ends; its first occurrence stays likewise. Then
+    `n_removed` counts the sentences that lost text, whole or in part. A smaller window inside
+    each stretch, chosen by its content alone, is looked up first; only stretches around a
+    window found twice are hashed one by one, so that the result is that of hashing all.
+
+    Only digests move: the first place of each is found by partial aggregation, the join back
+    is an equi-join that AQE splits where a passage is in very many documents. The texts move
+    once, to meet the runs they lose; with `passage` those with repeated windows once more.
 
     NULL and empty texts have no sentences; their kept text is empty. A text with fewer
     sentences than `span` is one run. Rows of one id and text are one document; rows of one
     id and other texts are documents of their own. A NULL id is the smallest.
     """
+    if passage is not None and passage < 2:
+        raise ValueError("a passage has two words at least")
     source = docs.select(
         F.col(id_col).alias("_doc"), F.coalesce(text_col, F.lit("")).alias("_text")
     ).withColumn("_tag", F.xxhash64("_text"))
@@ -76,46 +151,102 @@ def sentence_span_dedup(
         source.schema["_doc"], T.StructField("_tag", T.LongType()),
         T.StructField("_at", T.IntegerType()), T.StructField("_digest", T.BinaryType())])
 
+    def emitted(batch: pa.RecordBatch, found: list[list[tuple[int, bytes]]]) -> pa.RecordBatch:
+        at = pa.array(np.repeat(np.arange(len(found)), [len(own) for own in found]))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(at), batch.column(2).take(at),
+             pa.array([place for own in found for place, _ in own], pa.int32()),
+             pa.array([digest for own in found for _, digest in own], pa.binary())],
+            names=schema.names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, places, digests = [], [], []
-            for row, text in enumerate(utf8(batch.column(1))):
-                for place, digest in span_digests(units(text, most_words), span, least_words):
-                    rows.append(row)
-                    places.append(place)
-                    digests.append(digest)
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(2).take(at),
-                 pa.array(places, pa.int32()), pa.array(digests, pa.binary())],
-                names=schema.names)
-
-    runs = source.select("_doc", "_text", "_tag").mapInArrow(run, schema)
+        for batch in cut_batches(batches, 1):
+            found = []
+            for text in utf8(batch.column(1)):
+                own = span_digests(units(text, most_words), span, least_words)
+                if passage is not None:  # their digests have 8 bytes, those of runs 16
+                    at, hashes = anchors(text, passage)
+                    raw = hashes.tobytes()
+                    own += [(k, raw[8 * i:8 * i + 8]) for i, k in enumerate(at.tolist())]
+                found.append(own)
+            yield emitted(batch, found)
+
+    def run_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in cut_batches(batches, 1, 1 << 20):
+            yield emitted(batch, [
+                passage_digests(text, passage, np.array(near, np.int64)) for text, near in zip(
+                    utf8(batch.column(1)), batch.column(3).to_pylist())])
+
     place = F.struct("_doc", "_tag", "_at")
-    again = (
-        runs.groupBy("_digest").agg(F.min(place).alias("_first"), F.count("*").alias("_n"))
-        .filter("_n > 1").drop("_n"))
-    lost = (
-        runs.join(again, "_digest").filter(~place.eqNullSafe(F.col("_first")))
-        .groupBy("_doc", "_tag").agg(F.collect_set("_at").alias("_lost")))
+
+    def repeated(runs: DataFrame) -> DataFrame:
+        again = (
+            runs.groupBy("_digest").agg(F.min(place).alias("_first"), F.count("*").alias("_n"))
+            .filter("_n > 1").drop("_n"))
+        return runs.join(again, "_digest")
+
+    later = ~place.eqNullSafe(F.col("_first"))
+    runs = repeated(source.select("_doc", "_text", "_tag").mapInArrow(run, schema))
+    if passage is None:
+        lost = runs.filter(later).groupBy("_doc", "_tag").agg(F.collect_set("_at").alias("_lost"))
+        own = ["_lost"]
+    else:
+        anchor = F.octet_length("_digest") == 8
+        marks = written(
+            runs.filter(anchor | later).groupBy("_doc", "_tag").agg(
+                F.collect_set(F.when(~anchor, F.col("_at"))).alias("_lost"),
+                F.collect_set(F.when(anchor, F.col("_at"))).alias("_near")), "marks")
+        near = marks.filter(F.size("_near") > 0).select(
+            F.col("_doc").alias("_near_doc"), F.col("_tag").alias("_near_tag"), "_near")
+        passages = source.join(
+            near, F.col("_doc").eqNullSafe(F.col("_near_doc")) & (F.col("_tag") == F.col("_near_tag"))
+        ).select("_doc", "_text", "_tag", "_near").mapInArrow(run_passages, schema)
+        gone = repeated(written(passages, "passages")).filter(later).groupBy("_doc", "_tag").agg(
+            F.collect_set("_at").alias("_gone"))
+        lost = (
+            marks.select("_doc", "_tag", "_lost", F.lit(None).cast("array<int>").alias("_gone"))
+            .unionByName(gone.withColumn("_lost", F.lit(None).cast("array<int>")))
+            .groupBy("_doc", "_tag").agg(*(
+                F.flatten(F.collect_list(c)).alias(c) for c in ("_lost", "_gone"))))
+        own = ["_lost", "_gone"]
     met = docs.join(
         lost, docs[id_col].eqNullSafe(lost["_doc"])
         & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == lost["_tag"]), "left"
     ).drop("_doc", "_tag")
 
-    def rebuilt(texts: pa.Array, places: pa.Array) -> list[pa.Array]:
+    def without(text: bytes, parts: list[bytes], gone: set[int], places: list[int]) -> tuple[int, bytes]:
+        """Number of parts that lose text, and the text without the parts and passages that go."""
+        _, starts, _ = tokens(text)
+        at = token_places(text, len(starts))
+        stays = np.ones(len(text), bool)
+        ends = np.cumsum([len(p) for p in parts])
+        for i in gone:
+            stays[ends[i] - len(parts[i]):ends[i]] = False
+        for k in places:
+            stays[at[k]:at[k + passage]] = False
+        touched = np.unique(np.searchsorted(ends, np.flatnonzero(~stays), side="right"))
+        return sum(bool(parts[i].split()) for i in touched), np.frombuffer(text, np.uint8)[stays].tobytes()
+
+    def rebuilt(texts: pa.Array, *lists: pa.Array) -> list[pa.Array]:
         n, removed, kept = [], [], []
-        for text, own in zip(utf8(texts), places.to_pylist()):
+        for text, own, places in zip(
+                utf8(texts), lists[0].to_pylist(),
+                lists[1].to_pylist() if passage is not None else [None] * len(texts)):
             parts = units(text, most_words)
             worded = [i for i, p in enumerate(parts) if p.split()]
             gone = {worded[k] for a in own or () for k in range(a, min(a + span, len(worded)))}
             n.append(len(worded))
+            if places:
+                lose, left = without(text, parts, gone, places)
+                removed.append(lose)
+                kept.append(left)
+                continue
             removed.append(len(gone))
             kept.append(b"".join(p for i, p in enumerate(parts) if i not in gone) if gone else text)
         return [pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                 pa.array(kept, pa.binary()).cast(pa.string())]
 
     return with_arrow_columns(
-        met, rebuilt, [text_col, "_lost"],
+        met, rebuilt, [text_col, *own],
         [T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType()),
-         T.StructField("kept_text", T.StringType())], drop=["_lost"])
+         T.StructField("kept_text", T.StringType())], drop=own)

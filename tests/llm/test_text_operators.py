@@ -93,6 +93,34 @@ def test_spans_equal_brute_force(spark, sf_dir):
     assert {r[0]: (r[1], r[2]) for r in got} == expected
 
 
+def test_passages_at_every_offset(spark):
+    passage = " ".join(f"p{i}" for i in range(50))
+    texts = [(0, f"Once. {passage} and on")] + [
+        (n, f"{' '.join(f'd{n}w{i}' for i in range(n))} {passage.upper()}\tend{n}") for n in range(1, 18)]
+    got = rows(spans.sentence_span_dedup(frame(spark, texts), passage=48))
+    assert got[0]["kept_text"] == texts[0][1] and got[0]["n_removed"] == 0
+    for n in range(1, 18):
+        assert got[n]["kept_text"] == f"{' '.join(f'd{n}w{i}' for i in range(n))} end{n}"
+        assert got[n]["n_removed"] > 0
+
+
+def test_passages_equal_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    seen, expected = set(), {}
+    for doc, text in sorted(map(tuple, docs.collect())):
+        words, gone = text.encode().lower().split(), set()
+        for k in range(len(words) - 47):
+            run = b" ".join(words[k:k + 48])
+            if run in seen:
+                gone.update(range(k, k + 48))
+            seen.add(run)
+        expected[doc] = [w for i, w in enumerate(words) if i not in gone]
+    # Runs of sentences are left out, so that passages alone are compared.
+    got = spans.sentence_span_dedup(docs, least_words=1 << 30, passage=48).collect()
+    assert {r["doc_id"]: r["kept_text"].encode().lower().split() for r in got} == expected
+    assert sum(len(w) for w in expected.values()) < sum(len(r["text"].split()) for r in got)
+
+
 def test_licences(spark):
     mit = "Copyright (c) 2020 Someone\n\n" + licences.MIT.replace("\n", "  ").upper()
     texts = [(1, mit), (2, f"Some code.\n\n{licences.ISC}\n\nMore."), (3, "Text.\nreleased under the mit licence"),
