@@ -14,7 +14,16 @@ from lumentide.llm.common import cut_batches, utf8, with_arrow_columns, written
 
 #: A sentence with the white space behind it: up to a stop before white space, or a line.
 _SENTENCE = re.compile(rb"[^\n]*?[.!?]+[)\]\"']*(?:\s+|\Z)|[^\n]*\n\s*|[^\n]+\Z")
+#: The same with the full stops of scripts that put no white space behind them.
+_STOPS = "。．！？｡។။።।॥؟۔"
+_ANY_STOP = re.compile("|".join(_STOPS).encode())
+_SENTENCE_WIDE = re.compile(
+    rb"[^\n]*?(?:[.!?]+[)\]\"']*(?:\s+|\Z)|(?:" + "|".join(_STOPS).encode() + rb")+(?:"
+    + "|".join("」』”’）】》〉").encode() + rb"|[)\]\"'])*\s*)|[^\n]*\n\s*|[^\n]+\Z")
 _WORD = re.compile(rb"\S+\s*")
+#: Longer than that in bytes without white space is no word, but text that puts none.
+_LONG = 64
+_UNSPACED = re.compile(rb"\S{%d,}" % (_LONG + 1))
 
 #: Odd factor of the rolling hash, its inverse modulo 2^64, and a random value for each byte.
 _FACTOR = 0x9E3779B97F4A7C15
@@ -23,10 +32,17 @@ _BYTES = np.random.default_rng(3).integers(0, 1 << 64, 256, np.uint64)
 
 
 def units(text: bytes, most_words: int) -> list[bytes]:
-    """The text cut into sentences, longer ones after every `most_words` words; they add up to it."""
+    """The text cut into sentences, longer ones after every `most_words` words; they add up to it.
+
+    Of text without white space, 4 * `most_words` characters stand for so many words.
+    """
     found = []
-    for sentence in _SENTENCE.findall(text):
-        if len(sentence) > 2 * most_words and len(words := _WORD.findall(sentence)) > most_words:
+    wide = not text.isascii() and _ANY_STOP.search(text)
+    unspaced = _UNSPACED.search(text) is not None
+    for sentence in (_SENTENCE_WIDE if wide else _SENTENCE).findall(text):
+        if unspaced and _UNSPACED.search(sentence):
+            found += _unspaced_units(sentence, most_words)
+        elif len(sentence) > 2 * most_words and len(words := _WORD.findall(sentence)) > most_words:
             lead = sentence[:len(sentence) - sum(map(len, words))]
             parts = [b"".join(words[k:k + most_words]) for k in range(0, len(words), most_words)]
             parts[0] = lead + parts[0]
@@ -36,8 +52,33 @@ def units(text: bytes, most_words: int) -> list[bytes]:
     return found
 
 
-def span_digests(parts: list[bytes], span: int, least_words: int) -> list[tuple[int, bytes]]:
-    """Place and digest of every run of `span` units with at least `least_words` words.
+def _unspaced_units(sentence: bytes, most_words: int) -> list[bytes]:
+    """Units of a sentence that holds text without white space."""
+    words = _WORD.findall(sentence)
+    found, held = [], [sentence[:len(sentence) - sum(map(len, words))]]
+    for word in words:
+        chars = word.decode(errors="surrogateescape") if len(word.rstrip()) > _LONG else ""
+        if chars or len(held) > most_words:
+            found.append(b"".join(held))
+            held = [b""]
+        size = 4 * most_words
+        pieces = [chars[k:k + size].encode(errors="surrogateescape")
+                  for k in range(0, len(chars), size)] or [word]
+        if len(pieces) > 1 and not pieces[-1].strip():
+            pieces[-2:] = [b"".join(pieces[-2:])]
+        found += pieces[:-1]
+        held.append(pieces[-1])
+        if chars:
+            found.append(b"".join(held))
+            held = [b""]
+    found.append(b"".join(held))
+    return [unit for unit in found if unit]
+
+
+def span_digests(
+    parts: list[bytes], span: int, least_words: int, least_bytes: int = 64,
+) -> list[tuple[int, bytes]]:
+    """Place and digest of every run of `span` units with enough words or bytes.
 
     Units without a word are passed over: they are no sentences. Fewer units are one run.
     """
@@ -46,28 +87,42 @@ def span_digests(parts: list[bytes], span: int, least_words: int) -> list[tuple[
     made = []
     for k in range(max(1, len(held) - span + 1) if held else 0):
         run = held[k:k + span]
-        if sum(len(w) for _, w in run) >= least_words:
+        if sum(len(w) for _, w in run) >= least_words or (
+                sum(len(x) for _, w in run for x in w) >= least_bytes):
             made.append((k, xxhash.xxh3_128_digest(
                 b"\n".join(b" ".join(w) for _, w in run))))
     return made
 
 
 def tokens(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """The words, lower-cased and one space apart, and where each begins and ends in that."""
+    """The words, lower-cased and one space apart, and where each begins and ends in that.
+
+    Of text without white space every character is a token.
+    """
     flat = b" ".join(text.lower().split())
     if not flat:
         return flat, np.zeros(0, np.int64), np.zeros(0, np.int64)
     gaps = np.flatnonzero(np.frombuffer(flat, np.uint8) == 32)
-    return flat, np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(flat)]])
-
-
-def token_places(text: bytes, n: int) -> np.ndarray:
-    """Where each of the `n` tokens begins in the text itself, and the end of the text."""
+    starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(flat)]])
+    if (ends - starts).max() > _LONG:
+        lead = (np.frombuffer(flat, np.uint8) & 0xC0) != 0x80
+        cuts = []
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            cuts.append([a] if b - a <= _LONG else a + np.flatnonzero(lead[a:b]))
+        starts = np.concatenate(cuts)
+        last = np.searchsorted(gaps, starts)
+        ends = np.minimum(np.append(starts[1:], len(flat)), np.append(gaps, len(flat))[last])
+    return flat, starts, ends
+
+
+def token_places(text: bytes, flat: bytes, tokens_at: np.ndarray) -> np.ndarray:
+    """Where each of the tokens of `flat` begins in the text itself, and the end of the text."""
     raw = np.frombuffer(text, np.uint8)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
-    assert len(starts) == n
-    return np.append(starts, len(text))
+    heads = np.append(0, np.flatnonzero(np.frombuffer(flat, np.uint8) == 32) + 1)
+    word = np.searchsorted(heads, tokens_at, side="right") - 1
+    return np.append(starts[word] + tokens_at - heads[word], len(text))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -116,16 +171,19 @@ def passage_digests(text: bytes, passage: int, near: np.ndarray) -> list[tuple[i
 def sentence_span_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
     most_words: int = 16, least_words: int = 8, passage: int | None = None,
+    least_bytes: int = 64,
 ) -> DataFrame:
     """Remove every sentence covered by a run of `span` sentences found earlier already.
 
     The first occurrence of a run, in the smallest document and there at the first place,
     keeps its sentences; those of all others go. Adds `n_sentences`, `n_removed` and
     `kept_text`; an input column of one of these names is replaced. Sentences end at a stop
-    before white space or at a line break; one longer than `most_words` words counts as
+    before white space, a full stop of scripts without white space, or a line break; one longer than `most_words` words counts as
     several, cut after every `most_words` words from its beginning. A repeated passage that
     begins with a sentence and has `span` times `most_words` words is therefore always found,
-    with stops or without. Runs of less than `least_words` words don't count. A-Z are
+    with stops or without. Runs of less than `least_words` words count if those have
+    `least_bytes` bytes. More than 64 bytes without white space are no word: they are cut
+    after every 4 * `most_words` characters, and each character counts in a passage. A-Z are
     lower-cased and white space is one space; the remaining text is left as it is.
 
     With `passage` also every stretch of so many consecutive words found earlier already goes,
@@ -163,7 +221,7 @@ def sentence_span_dedup(
         for batch in cut_batches(batches, 1):
             found = []
             for text in utf8(batch.column(1)):
-                own = span_digests(units(text, most_words), span, least_words)
+                own = span_digests(units(text, most_words), span, least_words, least_bytes)
                 if passage is not None:  # their digests have 8 bytes, those of runs 16
                     at, hashes = anchors(text, passage)
                     raw = hashes.tobytes()
@@ -216,8 +274,8 @@ def sentence_span_dedup(
 
     def without(text: bytes, parts: list[bytes], gone: set[int], places: list[int]) -> tuple[int, bytes]:
         """Number of parts that lose text, and the text without the parts and passages that go."""
-        _, starts, _ = tokens(text)
-        at = token_places(text, len(starts))
+        flat, starts, _ = tokens(text)
+        at = token_places(text, flat, starts)
         stays = np.ones(len(text), bool)
         ends = np.cumsum([len(p) for p in parts])
         for i in gone:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,11 +117,40 @@ def test_passages_equal_brute_force(spark, sf_dir):
             seen.add(run)
         expected[doc] = [w for i, w in enumerate(words) if i not in gone]
     # Runs of sentences are left out, so that passages alone are compared.
-    got = spans.sentence_span_dedup(docs, least_words=1 << 30, passage=48).collect()
+    got = spans.sentence_span_dedup(docs, least_words=1 << 30, least_bytes=1 << 30, passage=48).collect()
     assert {r["doc_id"]: r["kept_text"].encode().lower().split() for r in got} == expected
     assert sum(len(w) for w in expected.values()) < sum(len(r["text"].split()) for r in got)
 
 
+@pytest.mark.parametrize("passage", [None, 48])
+def test_texts_without_spaces(spark, passage):
+    draw = random.Random(5)
+    han = ["".join(chr(draw.randrange(0x4E00, 0x9000)) for _ in range(100)) for _ in range(30)]
+    ascii_line = "".join(draw.choice("abcdefghijklmnop0123456789") for _ in range(3000))
+    stops = "。".join(x[:15] for x in han) + "。"
+    bodies = ["\n".join(han), "".join(han)[::-1], ascii_line, stops, "\n".join(
+        f"https://example.org/{x}" for x in ("first", "second", "third", "fourth"))]
+    texts = [(10 * i + k, b) for i, b in enumerate(bodies) for k in (0, 1)]
+    got = rows(spans.sentence_span_dedup(frame(spark, texts), passage=passage))
+    for i, body in enumerate(bodies):
+        if i == 3:
+            assert spans.units(body.encode(), 16) == [f"{x[:15]}。".encode() for x in han]
+        assert got[10 * i]["kept_text"] == body, i
+        assert got[10 * i + 1]["kept_text"] == "" and got[10 * i + 1]["n_removed"] > 0, i
+
+
+def test_unspaced_passages_at_every_offset(spark):
+    draw = random.Random(6)
+    han = lambda n: "".join(chr(draw.randrange(0x4E00, 0x9000)) for _ in range(n))
+    body = han(120)
+    texts = [(0, body)] + [(n, han(40 + n)) for n in range(1, 66)]
+    texts = [(0, body)] + [(n, f"{lead}{body}") for n, lead in texts[1:]]
+    got = rows(spans.sentence_span_dedup(frame(spark, texts), passage=48))
+    assert all(got[n]["kept_text"] == t.removesuffix(body) for n, t in texts[1:])
+    for _, text in texts:
+        assert b"".join(spans.units(text.encode(), 16)) == text.encode()
+
+
 def test_licences(spark):
     mit = "Copyright (c) 2020 Someone\n\n" + licences.MIT.replace("\n", "  ").upper()
     texts = [(1, mit), (2, f"Some code.\n\n{licences.ISC}\n\nMore."), (3, "Text.\nreleased under the mit licence"),
