@@ -322,3 +322,13 @@ def test_stages_leave_clashing_columns_alone(spark, sf_dir):
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.columns == docs.columns
             assert all(r["score"] == "a" and r["n_hit"] == "c" for r in out.collect())
+
+
+def test_pipeline_keeps_the_n_best(spark, sf_dir):
+    texts = [(1, "unbelievable segmentations of words"), (2, None), (3, "")]
+    got = {r["doc_id"]: r for r in corpus_pipeline.pieces(spark, frame(spark, texts), sf_dir).collect()}
+    lattice = pieces.PieceLattice.of(MODEL)
+    ids, scores, _ = lattice.encode(texts[0][1], 4)
+    assert got[1]["ids"] == ids.tolist() and [w["score"] for w in got[1]["n_best"]] == scores
+    assert len(scores) == 4 and len(got[2]["n_best"]) == len(got[3]["n_best"]) == 1
+    assert got[1]["round_trip"] and got[1]["score"] == 7
