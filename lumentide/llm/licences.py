@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -79,17 +80,27 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 _COPYRIGHT = re.compile(
     rb"^\W*(?:copyright\b|\(c\)|\xc2\xa9|all rights reserved\b)", re.IGNORECASE)
 _SPELLING = {a.encode(): b.encode() for a, b in EQUIVALENT}
-_OTHER = re.compile(rb"(?<![^ ])(?:" + b"|".join(
-    sorted(map(re.escape, _SPELLING), key=len, reverse=True)) + rb")(?![^ ])")
+_OTHER = re.compile(rb"(?<![^ \n])(?:" + b"|".join(
+    x.replace(b" ", b"[ \n]") for x in sorted(_SPELLING, key=len, reverse=True)) + rb")(?![^ \n])")
 
 
-def canonical(text: bytes) -> bytes:
-    """Case, punctuation, white space, copyright lines and equivalent spellings normalised."""
+def canonical_lines(text: bytes) -> list[bytes]:
+    """The lines that hold words, with case, punctuation, white space and spellings normalised.
+
+    Copyright lines are left out. A spelling that goes over a line's end stays in its first line.
+    """
     if b"opyright" in text or b"OPYRIGHT" in text or b"(" in text or b"\xc2\xa9" in text or (
             b"ights" in text or b"IGHTS" in text):
         text = b"\n".join(x for x in text.split(b"\n") if not _COPYRIGHT.match(x))
-    words = b" ".join(text.translate(_TABLE).split())
-    return _OTHER.sub(lambda m: _SPELLING[m[0]], words)
+    lines = (b" ".join(x.translate(_TABLE).split()) for x in text.split(b"\n"))
+    flat = _OTHER.sub(
+        lambda m: _SPELLING[m[0].replace(b"\n", b" ")], b"\n".join(x for x in lines if x))
+    return flat.split(b"\n") if flat else []
+
+
+def canonical(text: bytes) -> bytes:
+    """The canonical lines in one."""
+    return b" ".join(canonical_lines(text))
 
 
 def digest(text: bytes) -> bytes:
@@ -97,34 +108,40 @@ def digest(text: bytes) -> bytes:
 
 
 def known_licences(spark: SparkSession, texts: DataFrame | None = None) -> DataFrame:
-    """`_digest` and `license` of the known texts: those above, or a table (license, text)."""
+    """`_digest`, `_words` and `license` of the known texts: those above, or of (license, text)."""
     if texts is None:
-        rows = [(bytearray(digest(t.encode())), name) for name, own in TEXTS.items() for t in own]
-        return spark.createDataFrame(rows, "_digest binary, license string").dropDuplicates(["_digest"])
+        rows = [(bytearray(digest(t.encode())), len(canonical(t.encode()).split()), name)
+                for name, own in TEXTS.items() for t in own]
+        return spark.createDataFrame(
+            rows, "_digest binary, _words int, license string").dropDuplicates(["_digest"])
     schema = T.StructType([
-        T.StructField("_digest", T.BinaryType()), T.StructField("license", T.StringType())])
+        T.StructField("_digest", T.BinaryType()), T.StructField("_words", T.IntegerType()),
+        T.StructField("license", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            own = list(map(canonical, utf8(batch.column(1))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(map(digest, utf8(batch.column(1))), pa.binary()), batch.column(0)],
+                [pa.array([hashlib.sha256(x).digest() for x in own], pa.binary()),
+                 pa.array([len(x.split()) for x in own], pa.int32()), batch.column(0)],
                 names=schema.names)
 
     # Of two licences with the same canonical text the first by name stands for both.
     return (
         texts.select(F.col("license").cast("string"), "text").filter("text IS NOT NULL")
-        .mapInArrow(run, schema).groupBy("_digest").agg(F.min("license").alias("license")))
+        .mapInArrow(run, schema).groupBy("_digest", "_words").agg(F.min("license").alias("license")))
 
 
 def license_scan(
     docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    broadcast_rows: int = 100_000, most_blocks: int = 3,
+    broadcast_rows: int = 100_000,
 ) -> DataFrame:
-    """The known licence texts that a document is, or that one of its blocks or lines is.
+    """The known licence texts that a document is, or that some of its lines are.
 
     One row per document: `id_col`, `license` (of the whole text, else NULL), `notices` (the
-    licences of lines and of up to `most_blocks` consecutive blocks between blank lines, sorted
-    and distinct) and `n_notices`. Every compared text is whole: canonical digests are hash-joined to the known
+    licences of consecutive lines, however many and with whatever blank lines between them,
+    sorted and distinct) and `n_notices`. Lines are hashed together where they have as many words
+    as a known text. Every compared text is whole: canonical digests are hash-joined to the known
     ones, which are broadcast up to `broadcast_rows` rows (counted first) and shuffled beyond.
     Digests leave the scan, never texts; hits are brought together by document.
 
@@ -136,18 +153,21 @@ def license_scan(
         source.schema["_doc"], T.StructField("_whole", T.BooleanType()),
         T.StructField("_digest", T.BinaryType())])
     empty = hashlib.sha256(b"").digest()
+    sizes = sorted(r[0] for r in known.select("_words").distinct().collect() if r[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, whole, digests = [], [], []
             for row, text in enumerate(utf8(batch.column(1))):
-                own = {digest(line) for line in text.split(b"\n")}
-                blocks = re.split(rb"\n[ \t\r]*\n", text)
-                for k in range(1, min(most_blocks, len(blocks)) + 1):
-                    own |= {digest(b"\n".join(blocks[i:i + k]))
-                            for i in range(len(blocks) - k + 1)}
-                full = digest(text)
-                own.discard(empty)
+                lines = canonical_lines(text)
+                ends = list(itertools.accumulate(line.count(b" ") + 1 for line in lines))
+                at = {n: i + 1 for i, n in enumerate(ends)}
+                own = {
+                    hashlib.sha256(b" ".join(lines[i:at[start + n]])).digest()
+                    for i, start in enumerate([0, *ends[:-1]] if ends else [])
+                    for n in itertools.takewhile(lambda n: start + n <= ends[-1], sizes)
+                    if start + n in at}
+                full = hashlib.sha256(b" ".join(lines)).digest()
                 rows += [row] * (len(own) + (full != empty))
                 whole += [False] * len(own) + [True] * (full != empty)
                 digests += [*own, full] if full != empty else own
@@ -157,7 +177,7 @@ def license_scan(
 
     table = F.broadcast(known) if known.count() <= broadcast_rows else known
     hits = (
-        source.mapInArrow(run, schema).join(table, "_digest").groupBy("_doc").agg(
+        source.mapInArrow(run, schema).join(table.drop("_words"), "_digest").groupBy("_doc").agg(
             F.min(F.when(F.col("_whole"), F.col("license"))).alias("license"),
             F.sort_array(F.collect_set("license")).alias("notices")))
     ids = source.select("_doc").distinct()

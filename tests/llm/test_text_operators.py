@@ -167,6 +167,18 @@ def test_licences(spark):
     assert got[1]["license"] == "Own"
 
 
+def test_licences_of_many_blocks_inside_a_document(spark):
+    long = "\n\n".join(f"Clause {i} of it\nholds some words per\ncent." for i in range(9))
+    known = licences.known_licences(spark, spark.createDataFrame(
+        [("Long", long), ("MIT", licences.MIT)], "license string, text string"))
+    spread = licences.MIT.replace("\n\n", "\n\n\n\n")
+    texts = [(1, f"Code.\n\n{long}\n\nMore."), (2, f"Code.\n{spread}\nMore."),
+             (3, "Code.\n" + long.replace("\n\n", "\n")), (4, long.replace("Clause 8", "Clause 7"))]
+    got = rows(licences.license_scan(frame(spark, texts), known))
+    assert [got[i]["notices"] for i in (1, 2, 3, 4)] == [["Long"], ["MIT"], ["Long"], []]
+    assert got[1]["license"] is None
+
+
 TEN = "one two three four five six seven eight nine ten"
 
 
