@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import re
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -74,6 +75,25 @@ EQUIVALENT: tuple[tuple[str, str], ...] = (
 )
 # --- end of fixed values ---
 
+#: Where a text's appendix begins; the licence is also known without it.
+_APPENDIX = {"Apache-2.0": "APPENDIX: How to apply", "GPL-3.0": "How to Apply These Terms",
+             "MPL-2.0": "Exhibit A - Source"}
+
+
+def whole_texts() -> dict[str, list[str]]:
+    """The texts in the folder `licence_texts`, each with its usual variants."""
+    made = {}
+    for path in sorted((Path(__file__).parent / "licence_texts").iterdir()):
+        text = path.read_text(encoding="utf-8")
+        made[path.name] = sorted({
+            text.replace("{holder}", holder).replace("{owner}", owner)
+            for holder in ("the copyright holder", "the University", "the author")
+            for owner in ("COPYRIGHT HOLDER", "COPYRIGHT HOLDERS", "COPYRIGHT OWNER")})
+        if path.name in _APPENDIX:
+            made[path.name].append(text[:text.index(_APPENDIX[path.name])])
+    return made
+
+
 #: ASCII letters lower-cased, digits and what lies beyond ASCII kept, the rest to spaces.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
                for c in range(256))
@@ -111,7 +131,7 @@ def known_licences(spark: SparkSession, texts: DataFrame | None = None) -> DataF
     """`_digest`, `_words` and `license` of the known texts: those above, or of (license, text)."""
     if texts is None:
         rows = [(bytearray(digest(t.encode())), len(canonical(t.encode()).split()), name)
-                for name, own in TEXTS.items() for t in own]
+                for table in (TEXTS, whole_texts()) for name, own in table.items() for t in own]
         return spark.createDataFrame(
             rows, "_digest binary, _words int, license string").dropDuplicates(["_digest"])
     schema = T.StructType([

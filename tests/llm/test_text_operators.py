@@ -179,6 +179,17 @@ def test_licences_of_many_blocks_inside_a_document(spark):
     assert got[1]["license"] is None
 
 
+def test_whole_licence_texts(spark):
+    own = [(name, t) for name, texts in licences.whole_texts().items() for t in texts]
+    assert {n for n, _ in own} == {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0", "MPL-2.0"}
+    texts = [(i, t) for i, (_, t) in enumerate(own)] + [
+        (100 + i, f"Code before.\n\n{t}\n\nCode behind.") for i, (_, t) in enumerate(own)]
+    got = rows(licences.license_scan(frame(spark, texts), licences.known_licences(spark)))
+    for i, (name, _) in enumerate(own):
+        assert got[i]["license"] == name, name
+        assert name in got[100 + i]["notices"] and got[100 + i]["license"] is None, name
+
+
 TEN = "one two three four five six seven eight nine ten"
 
 
