@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lumentide.llm.common import table, written
 from lumentide.llm.decontaminate import decontaminate
 from lumentide.llm.licences import known_licences, license_scan
 from lumentide.llm.lines import line_dedup
 from lumentide.llm.pieces import encode_pieces
+from lumentide.llm.pii import BASE_KINDS, scan_pii, span_digest
 from lumentide.llm.quality import adaptive_bounds, judged, with_base_measures
 from lumentide.llm.simhash import simhash_dedup
 from lumentide.llm.spans import sentence_span_dedup
@@ -222,3 +223,17 @@ def _(spark, sf_dir):
 @register("op6_license_scan")
 def _(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents"), known_licences(spark))
+
+
+@register("op11_pii")
+def _(spark, sf_dir):
+    found = scan_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        own = F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))
+        return F.size(own).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, BASE_KINDS),
+        F.sha2(span_digest("spans", base_only=True), 256).alias("base_sha256"),
+        span_digest("spans").alias("spans"))
