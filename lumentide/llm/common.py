@@ -89,13 +89,14 @@ def utf8(texts: pa.Array) -> list[bytes]:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str = "stored", path: str | None = None) -> DataFrame:
     """Write `df` to the cluster's shared folder and read it back: cuts the lineage.
 
-    Nothing reads the job's shuffle files again, so they go with it.
+    Nothing reads the job's shuffle files again, so they go with it. Whoever gives a `path`
+    (see `shared_dir`) can remove it when done.
     """
     spark = df.sparkSession
-    path, before = shared_dir(spark, purpose), spark.conf.get(_CLEANUP, "false")
+    path, before = path or shared_dir(spark, purpose), spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
         df.write.parquet(path)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lumentide.llm.codes import compress_vectors, with_total_error
 from lumentide.llm.common import table, written
 from lumentide.llm.decontaminate import decontaminate
 from lumentide.llm.licences import known_licences, license_scan
@@ -19,6 +20,7 @@ from lumentide.llm.spans import sentence_span_dedup
 from lumentide.llm.suffixes import substring_dedup
 from lumentide.llm.tokens import read_tokens, write_tokens
 from lumentide.llm.toxicity import fit, held_out, toxicity
+from lumentide.llm.whitening import fit_whitening, whiten
 from lumentide.session import configure, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,3 +239,29 @@ def _(spark, sf_dir):
         "doc_id", *map(count, BASE_KINDS),
         F.sha2(span_digest("spans", base_only=True), 256).alias("base_sha256"),
         span_digest("spans").alias("spans"))
+
+
+@register("op12_vector_codes")
+def _(spark, sf_dir):
+    coded, books = compress_vectors(
+        table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    digits = F.transform("code", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return with_total_error(coded, "label").select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error",
+        F.col("total_error").alias("label_error"),
+        F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+@register("op13_whitening")
+def _(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit_whitening(vectors)
+    explained = F.array(*map(F.lit, model.explained)) if model else F.array()
+    return (
+        whiten(vectors, model)
+        .select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+        .select(
+            "vec_id", (F.col("at") + 1).alias("component"),
+            F.lit(model.n if model else 0).cast("bigint").alias("n"), "deviation", "whitened",
+            F.get(explained, F.col("at")).cast("double").alias("explained"),
+            F.lit(model.identity_error if model else None).cast("double").alias("identity_error")))
