@@ -17,9 +17,13 @@ from lumentide.functions import (
 from lumentide.operators import aggregate, dashboard, envelope, fact, metrics, normalise, quality
 from lumentide.operators.selection import dedupe_events
 from lumentide.operators.staging import stg_arxiv, stg_gdelt, stg_wikipedia
-from lumentide.plans.daily import rebuild_tables, refresh_tables, run_daily
+from lumentide.plans.daily import (
+    read_daily, rebuild_tables, refresh_changed, refresh_tables, run_daily,
+)
 from lumentide.session import configure, pin, shared_dir
-from lumentide.sources import tables
+from lumentide.sources import raw, tables
+from lumentide.sources.files import Storage
+from lumentide.sources.versions import NotPublished
 from lumentide.streaming import enrich, sinks, source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -381,11 +385,16 @@ def _(spark, sf_dir):
     return rows
 
 
-@register("raw_table_writers", columns.ENVELOPE, "", sql=oracle.query(
-    " UNION ALL ".join(f"SELECT {columns.select_list(columns.ENVELOPE)} FROM {view}"
-                       for view in ("enriched", "enriched", "news_backfill"))))
+_NO_LEVELS = "NULL AS consciousness_level, NULL AS medium_dominance"
+
+
+@register("raw_table_writers", columns.ENRICHED, "", sql=oracle.query(
+    f"SELECT {columns.select_list(columns.ENRICHED)} FROM enriched UNION ALL "
+    + " UNION ALL ".join(f"SELECT {columns.select_list(columns.ENVELOPE)}, {_NO_LEVELS} FROM {view}"
+                         for view in ("enriched", "news_backfill"))))
 def _(spark, sf_dir):
     # Stream, lake load and a backfill delivered twice, in one table; then closed days merge.
+    # Only the stream writes levels; they stay, also in merged days.
     lake, raw, offsets, loaded = (
         shared_dir(spark, p) for p in ("lake", "raw", "offsets", "loaded"))
     events = _enriched_stream(spark, sf_dir)
@@ -399,6 +408,72 @@ def _(spark, sf_dir):
     return tables.read_raw(spark, raw)
 
 
+@register("compact_after_a_stop", columns.ENRICHED, "", sql=oracle.query(
+    f"SELECT {columns.select_list(columns.ENRICHED)} FROM enriched UNION ALL "
+    f"SELECT {columns.select_list(columns.ENVELOPE)}, {_NO_LEVELS} FROM news_backfill"))
+def _(spark, sf_dir):
+    # A compaction decides what to do and stops with one day done; the next one finishes it.
+    table, offsets = shared_dir(spark, "raw"), shared_dir(spark, "offsets")
+    events = _enriched_stream(spark, sf_dir)
+    sinks.write_warehouse(events, table, offsets, trigger=None).awaitTermination()
+    tables.append_backfill(
+        normalise.normalise_gdelt(inputs.gdelt_lines(spark, sf_dir), "backfill", INGEST_TIME),
+        table)
+    (first, *_) = raw.begin_compaction(spark, table, dt.date(2024, 1, 20))
+    storage = Storage(spark, table)
+    (aside,) = (e.name for e in storage.entries(table) if e.name.startswith(raw.ASIDE))
+    (merged,) = (name for _, name in storage.folders(f"{table}/{aside}/event_date={first}", "batch"))
+    storage.move(f"{table}/{aside}/event_date={first}/{merged}", f"{table}/event_date={first}/{merged}")
+    stopped = pin(tables.read_raw(spark, table))
+    tables.compact(spark, table, dt.date(2024, 1, 20))
+    finished = tables.read_raw(spark, table)
+    # The same rows before and after: what only one of them has shows up besides.
+    return finished.unionByName(stopped.exceptAll(finished)).unionByName(finished.exceptAll(stopped))
+
+
+EVOLVED = columns.ENVELOPE + " views:n region:s"
+
+
+@register("load_lake_evolved", EVOLVED, "", sql=oracle.query(f"""
+    SELECT {columns.select_list(columns.ENVELOPE)},
+      CAST(CASE WHEN event_date > '2024-01-20' THEN CAST(event_id AS BIGINT) * 5000000000
+        WHEN event_date > '2024-01-10' THEN CAST(event_id AS BIGINT) END AS DOUBLE) AS views,
+      CASE WHEN event_date > '2024-01-20' THEN source END AS region
+    FROM raw_events"""))
+def _(spark, sf_dir):
+    # Three loads: known columns, one column more, that column wider and another one.
+    lake_path, table, loaded = (shared_dir(spark, p) for p in ("lake", "raw", "loaded"))
+    events = inputs.raw_events(spark, sf_dir)
+    number = F.col("event_id").cast("bigint")
+    for days, added in (
+        ("<= '2024-01-10'", {}),
+        ("between '2024-01-11' and '2024-01-20'", {"views": number.cast("int")}),
+        ("> '2024-01-20'", {"views": number * F.lit(5_000_000_000), "region": F.col("source")}),
+    ):
+        events.filter(f"event_date {days}").withColumns(added).write.mode("append").partitionBy(
+            "event_date").parquet(lake_path)
+        rows = tables.load_lake_to_raw(spark, lake_path, table, loaded, merge_schema=True)
+    return rows
+
+
+@register("expire_streamed_lake", columns.ENVELOPE, "enriched",
+          f"event_date IS NULL OR event_date >= DATE '{AS_OF}' - INTERVAL 25 DAY "
+          "OR source = 'gdelt'")
+def _(spark, sf_dir):
+    # The stream writes, days expire, the stream goes on with late rows, the lake is loaded.
+    landed, lake_path, offsets, table, loaded = (
+        shared_dir(spark, p) for p in ("messages", "lake", "offsets", "raw", "loaded"))
+    sent = inputs.messages(spark, sf_dir)
+    for news in (False, True):
+        sent.filter((F.col("topic") == "gdelt_events") == F.lit(news)).write.mode("append") \
+            .parquet(landed)
+        events = enrich.parse_and_enrich(source.read_landed_stream(spark, landed))
+        sinks.write_lake(events, lake_path, offsets, trigger=None).awaitTermination()
+        if not news:
+            tables.expire_partitions(spark, lake_path, dt.date.fromisoformat(AS_OF), days=25)
+    return tables.load_lake_to_raw(spark, lake_path, table, loaded)
+
+
 @register("append_backfill", PAYLOAD, "", sql=oracle.query(
     f"SELECT {columns.select_list(PAYLOAD)} FROM news_backfill UNION ALL "
     f"SELECT {columns.select_list(PAYLOAD)} FROM papers_backfill"))
@@ -618,3 +693,30 @@ def _(spark, sf_dir):
     return refresh_tables(
         events, root, dt.date.fromisoformat(AS_OF), since=dt.date(2024, 1, 18),
         raw_by_date=False).fact_attention_events
+
+
+@register("refresh_changed", columns.FACT, "fact")
+def _(spark, sf_dir):
+    # A first run; then new days and rows weeks late arrive. Which days changed follows from
+    # the files that arrived.
+    events = inputs.raw_events(spark, sf_dir)
+    table, root = shared_dir(spark, "raw"), shared_dir(spark, "warehouse")
+    late = (F.col("source") == "gdelt") & (F.col("event_date") < F.lit("2024-01-05"))
+    known = F.col("event_date") <= F.lit("2024-01-25")
+    for part in (known & ~late, ~known, late):
+        tables.append_backfill(events.filter(part), table)
+        run = refresh_changed(spark, table, root, dt.date.fromisoformat(AS_OF))
+    return run.fact_attention_events
+
+
+@register("rebuild_tables_checked", columns.MART, "mart")
+def _(spark, sf_dir):
+    # A sound run is published; a later one on less events fails its checks and is not.
+    events, root = inputs.raw_events(spark, sf_dir), shared_dir(spark, "warehouse")
+    rebuild_tables(events, root, AS_OF, raw_by_date=False)
+    try:
+        rebuild_tables(events.filter("topic_category = 'science'"), root, AS_OF,
+                       raw_by_date=False, checked=True)
+    except NotPublished:
+        return read_daily(spark, root, "mart_dashboard")
+    raise AssertionError("a mart of one category passed")

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumentide.schemas import ARXIV_ENTRY, LAKE_EVENTS, PAGEVIEW, WIKI_CHANGE
 
+#: File streams leave out files a week older than the newest they have seen, unless told
+#: otherwise: after a move that keeps times that would lose rows without a word.
+ALL_AGES = "36500d"
+
 
 def read_wiki_changes(spark: SparkSession, path: str) -> DataFrame:
     """Change records, one JSON object per line, with the line itself as `record`.
@@ -43,4 +47,4 @@ def read_lake(spark: SparkSession, path: str, merge_schema: bool = False) -> Dat
     """
     if merge_schema:
         return spark.read.option("mergeSchema", True).parquet(path)
-    return spark.read.schema(LAKE_EVENTS).parquet(path)
+    return spark.read.schema(LAKE_EVENTS).parquet(path).select(*LAKE_EVENTS.fieldNames())

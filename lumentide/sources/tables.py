@@ -1,53 +1,30 @@
-"""Partitioned Parquet tables: layout, rebuild, append, retention, compaction.
-
-All writers of the raw table use one layout, `event_date/batch`. A batch is what one
-micro-batch, lake load or backfill delivered; writing it again overwrites it, so that the
-table holds every delivery once. `compact` later merges the batches of closed days.
+"""Partitioned Parquet tables: layout, rebuild, retention.
 
 Rows are brought together by partition value with a REBALANCE hint. AQE then
 splits a partition that is too large, such as a day holding a third of the table,
-and merges small ones, so that no single task writes a whole day.
+and merges small ones, so that no single task writes a whole day. The raw event table is
+in `raw`, and its functions can be called here, too.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from lumentide.functions import as_date
-from lumentide.schemas import RAW_CLUSTERING, RAW_EVENTS, RETENTION_DAYS
-from lumentide.sources.landed import read_lake
-
-
-def laid_out(
-    df: DataFrame, partition_by: str | None = "event_date", cluster_by: Sequence[str] = (),
-    in_place: bool = False,
-) -> DataFrame:
-    """Rows balanced over tasks by partition value and sorted for row-group skipping.
-
-    Without a partition column the rows are merely balanced and sorted.
-
-    `in_place` leaves rows in the tasks they are in. That saves the shuffle where
-    the input is read from a table partitioned the same way, so that a task sees
-    few partition values as it is.
-    """
-    keys = [partition_by] if partition_by else []
-    placed = df if in_place else df.hint("rebalance", *map(F.col, keys))
-    order = [*keys, *cluster_by]
-    return placed.sortWithinPartitions(*order) if order else placed
-
-
-def write_batch(events: DataFrame, path: str, batch: str) -> None:
-    """Write one delivery to the raw table; a repeated one replaces itself."""
-    (
-        laid_out(events, "event_date", RAW_CLUSTERING).withColumn("batch", F.lit(batch))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch").parquet(path)
-    )
+from lumentide.schemas import RAW_CLUSTERING, RETENTION_DAYS
+from lumentide.sources.files import Storage
+from lumentide.sources.layout import laid_out
+from lumentide.sources.raw import (  # noqa: F401
+    append_backfill, as_raw_events, compact, load_lake_to_raw, read_raw, start_lake_load,
+    write_batch,
+)
+from lumentide.sources.versions import (
+    Checked, NotPublished, current, new_version, publish,
+)
 
 
 def _write(
@@ -60,137 +37,75 @@ def _write(
     writer.parquet(path)
 
 
-def materialise(
-    df: DataFrame, path: str, partition_by: str | None = "event_date",
-    cluster_by: Sequence[str] = (), in_place: bool = False,
-) -> DataFrame:
-    """Rebuild a derived table in full and return it as read back.
-
-    The new version is written beside the old one, which stays until the new one is
-    complete; a run that fails leaves the old table as it was.
-    """
-    spark = df.sparkSession
-    version = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
-    _write(df, version, "overwrite", partition_by, cluster_by, in_place)
-    fs, to_path = _file_system(spark, path)
-    old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
-    if fs.exists(to_path(path)):
-        _rename(fs, to_path(path), to_path(old))
-    else:
-        fs.mkdirs(to_path(path).getParent())
-    _rename(fs, to_path(version), to_path(path))
-    fs.delete(to_path(old), True)
-    spark.catalog.refreshByPath(path)
-    return read_table(spark, path, df)
-
-
-def _file_system(spark: SparkSession, path: str):
-    to_path = spark._jvm.org.apache.hadoop.fs.Path
-    return to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), to_path
-
-
-def _rename(fs, source, target) -> None:
-    if not fs.rename(source, target):
-        raise OSError(f"could not rename {source} to {target}")
-
-
-def replace_partitions(
-    df: DataFrame, path: str, partition_by: str = "event_date", cluster_by: Sequence[str] = (),
-    in_place: bool = False,
-) -> DataFrame:
-    """Rebuild only the partitions `df` has rows for and return the whole table."""
-    _write(df, path, "overwrite", partition_by, cluster_by, in_place, "dynamic")
-    return read_table(df.sparkSession, path, df)
+@dataclass(frozen=True)
+class Version:
+    """A version of a table that is written but not published yet."""
 
+    path: str
+    name: str
+    folder: str
+    rows: DataFrame
 
-def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """A table with the columns of `like`, in that order and without schema inference."""
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+    def publish(self) -> None:
+        publish(self.rows.sparkSession, self.path, self.name)
 
+    def drop(self) -> None:
+        Storage(self.rows.sparkSession, self.path).remove(self.folder)
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw event table."""
-    return spark.read.schema(RAW_EVENTS).parquet(path).select(*RAW_EVENTS.fieldNames())
 
+def write_version(
+    df: DataFrame, path: str, partition_by: str | None = "event_date",
+    cluster_by: Sequence[str] = (), in_place: bool = False, checks: Checked | None = None,
+) -> Version:
+    """Write a version of a table beside the present one; `publish` switches to it.
 
-def as_raw_events(df: DataFrame) -> DataFrame:
-    """The columns of the raw table, cast to its types; those missing are NULL."""
-    return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in RAW_EVENTS.fields])
+    With `checks` a version that fails them, as observed while it was written, is dropped
+    and NotPublished is raised.
+    """
+    spark = df.sparkSession
+    name, folder = new_version(path)
+    _write(checks.on(df) if checks else df, folder, "overwrite", partition_by, cluster_by, in_place)
+    rows = spark.read.schema(df.schema).parquet(folder).select(*df.columns)
+    version = Version(path, name, folder, rows)
+    if checks and checks.failed():
+        version.drop()
+        raise NotPublished(path, checks.observed(), checks.failed())
+    return version
 
 
-def start_lake_load(
-    spark: SparkSession, lake_path: str, raw_path: str, checkpoint: str,
-    merge_schema: bool = False,
-) -> StreamingQuery:
-    """Load the lake files that are new since the last load with this checkpoint.
+def materialise(
+    df: DataFrame, path: str, partition_by: str | None = "event_date",
+    cluster_by: Sequence[str] = (), in_place: bool = False, checks: Checked | None = None,
+) -> DataFrame:
+    """Rebuild a derived table in full and return it as read back.
 
-    The lake is a file stream read to its present end; the checkpoint knows which files
-    were loaded, so a load touches new files only, of whatever event date. A load that is
-    repeated after a failure replaces what it wrote.
+    The new version is written beside the old one and published by one small file (see
+    `versions`): whatever step a run fails at, readers have the old table or the new one. The
+    version before stays until the next rebuild, for readers that have begun with it.
     """
-    schema = read_lake(spark, lake_path, merge_schema).schema
-    files = spark.readStream.schema(schema).parquet(lake_path)
+    version = write_version(df, path, partition_by, cluster_by, in_place, checks)
+    version.publish()
+    return version.rows
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_batch(as_raw_events(batch), raw_path, f"lake-{query}-{batch_id}")
 
-    return (
-        files.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-        .trigger(availableNow=True).start())
-
-
-def load_lake_to_raw(
-    spark: SparkSession, lake_path: str, raw_path: str, checkpoint: str,
-    merge_schema: bool = False,
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: str = "event_date", cluster_by: Sequence[str] = (),
+    in_place: bool = False,
 ) -> DataFrame:
-    """Load what is new in the lake into the raw table and return the table."""
-    start_lake_load(spark, lake_path, raw_path, checkpoint, merge_schema).awaitTermination()
-    return read_raw(spark, raw_path)
-
+    """Rebuild only the partitions `df` has rows for and return the whole table.
 
-def append_backfill(events: DataFrame, raw_path: str, batch: str | None = None) -> DataFrame:
-    """Append normalised history to the raw table and return the table.
-
-    A backfill with a `batch` name replaces what an earlier one of that name wrote.
+    In place, in the present version. Spark moves the new partitions in one after the other
+    when all are written; after a failure in between, run it again.
     """
-    write_batch(as_raw_events(events), raw_path, f"backfill-{batch or uuid.uuid4().hex}")
-    return read_raw(events.sparkSession, raw_path)
-
+    spark = df.sparkSession
+    folder = current(spark, path)
+    _write(df, folder, "overwrite", partition_by, cluster_by, in_place, "dynamic")
+    return read_table(spark, path, df)
 
-def compact(spark: SparkSession, path: str, before: dt.date, keep: int = 1) -> list[str]:
-    """Merge the batches of every day before `before` that has more than `keep` of them.
 
-    Only for days no writer adds to any more: a delivery that was merged is not known by
-    its batch. The merged rows are written beside the table first and moved in, then the
-    merged batches are dropped; run it while nobody reads those days. Names the days.
-    """
-    fs, to_path = _file_system(spark, path)
-    days: dict[str, list[str]] = {}
-    for status in fs.listStatus(to_path(path)):
-        key, _, day = status.getPath().getName().partition("=")
-        if key == "event_date" and not day.startswith("__") and dt.date.fromisoformat(day) < before:
-            batches = [b.getPath().toString() for b in fs.listStatus(status.getPath())
-                       if b.getPath().getName().startswith("batch=")]
-            if len(batches) > keep:
-                days[day] = batches
-    if not days:
-        return []
-    merged = f"compacted-{uuid.uuid4().hex}"
-    aside = f"{path.rstrip('/')}.{merged}"
-    rows = read_raw(spark, path).filter(F.col("event_date").isin(
-        [dt.date.fromisoformat(d) for d in days]))
-    write_batch(rows, aside, merged)
-    for day, batches in days.items():
-        _rename(fs, to_path(f"{aside}/event_date={day}/batch={merged}"),
-                to_path(f"{path}/event_date={day}/batch={merged}"))
-        for batch in batches:
-            fs.delete(to_path(batch), True)
-    fs.delete(to_path(aside), True)
-    spark.catalog.refreshByPath(path)
-    return sorted(days)
+def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A table's present version with the columns of `like`, without schema inference."""
+    return spark.read.schema(like.schema).parquet(current(spark, path)).select(*like.columns)
 
 
 def retain(
@@ -217,14 +132,16 @@ def drop_partitions(
 ) -> list[str]:
     """Drop the partitions of the days that are `gone` and name them.
 
-    A metadata operation: it deletes directories and reads or rewrites no rows.
+    A metadata operation: it deletes directories and reads or rewrites no rows. A folder
+    whose files are listed in a file sink's log is refused: the log would list them still
+    and every later read would fail. `adopt_lake` makes such a folder an ordinary one.
     """
-    fs, to_path = _file_system(spark, path)
+    folder = current(spark, path)
+    storage = Storage(spark, folder)
+    if storage.exists(f"{folder}/_spark_metadata"):
+        raise ValueError(f"{folder} has a file sink's log; adopt_lake() it first")
     dropped = []
-    for status in fs.listStatus(to_path(path)):
-        key, _, value = status.getPath().getName().partition("=")
-        if key != "event_date" or value.startswith("__"):
-            continue
-        if gone(dt.date.fromisoformat(value)) and fs.delete(status.getPath(), True):
-            dropped.append(value)
+    for day, name in storage.folders(folder, "event_date"):
+        if gone(dt.date.fromisoformat(day)) and storage.remove(f"{folder}/{name}"):
+            dropped.append(day)
     return sorted(dropped)

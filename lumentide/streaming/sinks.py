@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from lumentide.sources.tables import write_batch
+from lumentide.sources.lake import deliver
+from lumentide.sources.raw import write_batch
 
 TRIGGER = "5 minutes"
 
@@ -20,11 +21,19 @@ def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWrite
 def write_lake(
     events: DataFrame, path: str, checkpoint: str, trigger: str | None = TRIGGER,
 ) -> StreamingQuery:
-    """Append to Parquet files, one directory per event date. Exactly once."""
+    """Append to the lake, Parquet files by event date and batch. Exactly once.
+
+    A micro-batch that is delivered again after a failure is known by the query's id, which
+    lives in the checkpoint, and its number (see `sources.lake`). Unlike a file sink's folder
+    the lake has no log of files: days can be expired while the stream goes on.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        deliver(batch, path, query, batch_id)
+
     writer = (
-        events.writeStream.format("parquet").outputMode("append")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .partitionBy("event_date")
+        events.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint).foreachBatch(write)
     )
     return _triggered(writer, trigger).start()
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from lumentide.schemas import STREAM_TOPICS
+from lumentide.sources.landed import ALL_AGES
 
 MESSAGE = T.StructType([
     T.StructField("value", T.BinaryType()), T.StructField("topic", T.StringType()),
@@ -47,8 +48,8 @@ def read_event_stream(
 def read_landed_stream(
     spark: SparkSession, path: str, max_files: int | None = None,
 ) -> DataFrame:
-    """The same stream from Parquet files of messages, for replays and tests."""
-    reader = spark.readStream.schema(MESSAGE)
+    """The same stream from Parquet files of messages of any age, for replays and tests."""
+    reader = spark.readStream.schema(MESSAGE).option("maxFileAge", ALL_AGES)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

@@ -13,7 +13,7 @@ from lumentide.operators import aggregate, dashboard, fact, metrics, normalise
 from lumentide.operators.selection import dedupe_events
 from lumentide.plans import daily
 from lumentide.session import shared_dir
-from lumentide.sources import tables
+from lumentide.sources import tables, versions
 from lumentide.streaming import enrich
 
 AS_OF = dt.date.fromisoformat(inputs.AS_OF)
@@ -33,6 +33,7 @@ def test_layout_on_disk(spark, sf_dir):
     path = shared_dir(spark, "fact")
     events = fact.fact_from_raw(inputs.raw_events(spark, sf_dir), AS_OF)
     same(tables.materialise(events, path, cluster_by=("source", "topic_category")), events)
+    path = versions.current(spark, path)
     days = sorted(d for d in os.listdir(path) if d.startswith("event_date="))
     assert len(days) == 30
     one_day = spark.read.parquet(f"{path}/{days[0]}").select("source").collect()
@@ -161,7 +162,8 @@ def test_dashboards_prune_partitions(spark, sf_dir, plan):
 def test_small_tables_are_few_files(spark, sf_dir):
     root = shared_dir(spark, "warehouse")
     daily.rebuild_tables(raw_table(spark, sf_dir), root, AS_OF)
-    files = [f for f in os.listdir(f"{root}/mart_dashboard") if f.endswith(".parquet")]
+    mart = versions.current(spark, f"{root}/mart_dashboard")
+    files = [f for f in os.listdir(mart) if f.endswith(".parquet")]
     assert len(files) == 1
 
 
@@ -174,7 +176,8 @@ def test_a_hot_day_is_split_over_tasks(spark):
             F.lit(dt.date(2024, 1, 1)).alias("event_date"), F.sha2(F.col("id").cast("string"), 256)
             .alias("topic"), F.lit("gdelt").alias("source"))
         tables.materialise(rows, path, cluster_by=("source",))
-        files = [f for f in os.listdir(f"{path}/event_date=2024-01-01") if f.endswith(".parquet")]
+        day = f"{versions.current(spark, path)}/event_date=2024-01-01"
+        files = [f for f in os.listdir(day) if f.endswith(".parquet")]
         assert len(files) > 4
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
