@@ -21,10 +21,10 @@ from lumentide.plans.daily import (
     read_daily, rebuild_tables, refresh_changed, refresh_tables, run_daily,
 )
 from lumentide.session import configure, pin, shared_dir
-from lumentide.sources import raw, tables
+from lumentide.sources import landed, raw, tables
 from lumentide.sources.files import Storage
 from lumentide.sources.versions import NotPublished
-from lumentide.streaming import enrich, sinks, source
+from lumentide.streaming import enrich, feeds, sinks, source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +104,18 @@ def _(spark, sf_dir):
     return normalise.normalise_gdelt(inputs.gdelt_lines(spark, sf_dir), "backfill", INGEST_TIME)
 
 
+@register("normalise_gdelt_quoted_breaks", columns.NORMALISED, "", sql=oracle.query(
+    "SELECT " + columns.select_list(columns.NORMALISED)
+    + " FROM (SELECT * REPLACE (replace(topic, 'ACTOR ', E'ACTOR\n') AS topic) FROM news_live)"))
+def _(spark, sf_dir):
+    # Export files whose quoted fields hold line breaks, tabs between them and doubled quotes.
+    exports = shared_dir(spark, "exports")
+    inputs.gdelt_lines(spark, sf_dir).select(F.regexp_replace(
+        "line", "ACTOR ([0-9]+)", '"ACTOR\n$1"')).repartition(4).write.text(exports)
+    return normalise.normalise_gdelt(
+        landed.read_gdelt_exports(spark, exports, multi_line=True), "live", INGEST_TIME)
+
+
 @register("normalise_arxiv_feed", PAYLOAD, "papers_feed")
 def _(spark, sf_dir):
     return normalise.normalise_arxiv(
@@ -205,12 +217,28 @@ _SENT_KEY = {"edits": "topic", "views": "topic", "news_backfill": "topic",
 _KAFKA_TOPIC = "CASE source WHEN 'gdelt' THEN 'gdelt_events' WHEN 'arxiv' THEN 'arxiv_papers' ELSE source END"
 
 
-@register("to_envelope_sources", SENT_ALL, "", sql=oracle.query(" UNION ALL ".join(f"""
+def _sent_sql(*views: str) -> str:
+    """The messages of views of events."""
+    return " UNION ALL ".join(f"""
 SELECT {columns.select_list(SENT_ALL)} FROM (
   SELECT * REPLACE (strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS event_timestamp,
       strftime(ingested_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS ingested_at),
-    {key} AS key, {_KAFKA_TOPIC} AS kafka_topic
-  FROM (FROM {view}))""" for view, key in _SENT_KEY.items())))
+    {_SENT_KEY[view]} AS key, {_KAFKA_TOPIC} AS kafka_topic
+  FROM (FROM {view}))""" for view in views)
+
+
+def _received(messages: DataFrame) -> DataFrame:
+    """Messages parsed again, without their payloads."""
+    received = "event_id string, source string, event_timestamp string, topic string, " \
+        "topic_category string, language string, country_code string, signal_strength double, " \
+        "medium_type string, ingested_at string"
+    return messages.select(
+        F.col("key").cast("string").alias("key"), F.col("topic").alias("kafka_topic"),
+        F.from_json(F.col("value").cast("string"), received).alias("event"),
+    ).select("key", "kafka_topic", "event.*")
+
+
+@register("to_envelope_sources", SENT_ALL, "", sql=oracle.query(_sent_sql(*_SENT_KEY)))
 def _(spark, sf_dir):
     events = [
         normalise.normalise_wiki_changes(inputs.wiki_changes(spark, sf_dir), INGEST_TIME),
@@ -219,13 +247,7 @@ def _(spark, sf_dir):
         normalise.normalise_gdelt(inputs.gdelt_lines(spark, sf_dir), "backfill", INGEST_TIME),
         normalise.normalise_arxiv(
             inputs.arxiv_entries(spark, sf_dir, "rfc822"), "feed", ingest_time=INGEST_TIME)]
-    received = "event_id string, source string, event_timestamp string, topic string, " \
-        "topic_category string, language string, country_code string, signal_strength double, " \
-        "medium_type string, ingested_at string"
-    return envelope.to_envelope(reduce(DataFrame.unionByName, events)).select(
-        "key", F.col("topic").alias("kafka_topic"),
-        F.from_json(F.col("value").cast("string"), received).alias("event"),
-    ).select("key", "kafka_topic", "event.*")
+    return _received(envelope.to_envelope(reduce(DataFrame.unionByName, events)))
 
 
 @register(
@@ -296,9 +318,9 @@ def _(spark, sf_dir):
 # --- streams ----------------------------------------------------------------
 
 def _message_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    landed = shared_dir(spark, "messages")
-    inputs.messages(spark, sf_dir).repartition(4).write.parquet(landed)
-    return source.read_landed_stream(spark, landed, max_files)
+    path = shared_dir(spark, "messages")
+    inputs.messages(spark, sf_dir).repartition(4).write.parquet(path)
+    return source.read_landed_stream(spark, path, max_files)
 
 
 @register("read_landed_stream", PARSED + " kafka_topic:s", "message_fields")
@@ -367,6 +389,42 @@ def _(spark, sf_dir):
     return spark.read.schema(schema).parquet(out)
 
 
+@register("feed_messages", SENT_ALL, "", sql=oracle.query(_sent_sql("edits", "views")))
+def _(spark, sf_dir):
+    # Two feeds, files as micro-batches; the jobs end when there is nothing more and start
+    # again when new files have landed.
+    out = shared_dir(spark, "messages")
+    for feed, records in (("wiki_changes", inputs.wiki_changes(spark, sf_dir)),
+                          ("wiki_pageviews", inputs.pageviews(spark, sf_dir))):
+        path, offsets = shared_dir(spark, feed), shared_dir(spark, "offsets")
+        for part in range(2):
+            some = F.pmod(F.xxhash64(*records.columns), F.lit(2)) == part
+            records.filter(some).repartition(2).write.mode("append").json(path)
+            feeds.write_messages(
+                feeds.feed_messages(spark, feed, path, INGEST_TIME, max_files=1), offsets,
+                path=out, trigger=None).awaitTermination()
+    return _received(spark.read.parquet(out))
+
+
+@register("first_per_hour_stream", PAYLOAD, "views_top")
+def _(spark, sf_dir):
+    # The lists of some hours per file; an hour at a file's edge comes in two micro-batches.
+    path, out = shared_dir(spark, "feed"), shared_dir(spark, "first")
+    pages = inputs.pageviews(spark, sf_dir)
+    at = F.floor((F.unix_timestamp("hour") - 1704067200) / 3600) + F.col("rank") % 2
+    hours = pages.agg(F.max(at)).first()[0] + 1
+    for part in range(3):
+        pages.filter(F.floor(at * 3 / hours) == part).coalesce(1).write.mode("append").json(path)
+        records = landed.read_wiki_pageviews(spark, path, stream=True)
+        if part == 0:
+            offsets = shared_dir(spark, "offsets")
+        feeds.start_first_per_hour(
+            records, out, offsets, 200, [F.col("rank"), F.col("article"), F.col("views")],
+            trigger=None).awaitTermination()
+    first = feeds.read_first_per_hour(spark, out, pages, closed_only=False)
+    return normalise.normalise_wiki_pageviews(first, ingest_time=INGEST_TIME)
+
+
 # --- tables -----------------------------------------------------------------
 
 @register("load_lake_to_raw", columns.ENVELOPE, "enriched")

@@ -42,7 +42,7 @@ def dedupe_events(
     without an id are nobody's copies and all stay.
     """
     present = [F.col(c).asc_nulls_last() for c in first_by if c in df.columns]
+    # A row without an id is a group of its own: a number no other row has tells it apart.
     known = reduce(and_, [F.col(c).isNotNull() for c in keys])
-    return _keep_first(
-        df.filter(known), keys, [*present, F.xxhash64(*df.columns)], 1
-    ).unionByName(df.filter(~known))
+    apart = df.withColumn("_apart", F.when(~known, F.monotonically_increasing_id()))
+    return _keep_first(apart, [*keys, "_apart"], [*present, F.xxhash64(*df.columns)], 1).drop("_apart")

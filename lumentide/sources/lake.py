@@ -17,7 +17,9 @@ from lumentide.sources.layout import laid_out
 DELIVERED, PENDING, LOG = "_delivered", "_pending-", "_spark_metadata"
 
 
-def deliver(batch: DataFrame, path: str, stream: str, batch_id: int) -> bool:
+def deliver(
+    batch: DataFrame, path: str, stream: str, batch_id: int, partition_by: str = "event_date",
+) -> bool:
     """Add a micro-batch to the lake; one that was delivered before adds nothing.
 
     A batch delivered again after a failure in the middle is not computed again but moved
@@ -32,10 +34,10 @@ def deliver(batch: DataFrame, path: str, stream: str, batch_id: int) -> bool:
         return False
     if not storage.exists(f"{pending}/_complete"):
         storage.remove(pending)
-        laid_out(batch, "event_date").write.partitionBy("event_date").parquet(pending)
+        laid_out(batch, partition_by).write.partitionBy(partition_by).parquet(pending)
         storage.write(f"{pending}/_complete", "")
     for entry in storage.entries(pending):
-        if entry.is_dir and entry.name.startswith("event_date="):
+        if entry.is_dir and entry.name.startswith(f"{partition_by}="):
             target = f"{path}/{entry.name}/batch={stream}-{batch_id}"
             storage.remove(target)  # what a store without true renames left half copied
             storage.move(f"{pending}/{entry.name}", target)

@@ -11,7 +11,7 @@ from lumentide.sources.raw import write_batch
 TRIGGER = "5 minutes"
 
 
-def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
     """A periodic trigger, or with None everything available now and then stop."""
     if trigger is None:
         return writer.trigger(availableNow=True)
@@ -35,7 +35,7 @@ def write_lake(
         events.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint).foreachBatch(write)
     )
-    return _triggered(writer, trigger).start()
+    return triggered(writer, trigger).start()
 
 
 def write_warehouse(
@@ -59,7 +59,7 @@ def write_warehouse(
         events.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint).foreachBatch(write)
     )
-    return _triggered(writer, trigger).start()
+    return triggered(writer, trigger).start()
 
 
 def run_dual_sink(

@@ -48,8 +48,12 @@ def read_event_stream(
 def read_landed_stream(
     spark: SparkSession, path: str, max_files: int | None = None,
 ) -> DataFrame:
-    """The same stream from Parquet files of messages of any age, for replays and tests."""
-    reader = spark.readStream.schema(MESSAGE).option("maxFileAge", ALL_AGES)
+    """The same stream from Parquet files of messages of any age, for replays and tests.
+
+    Files may lie in folders by topic and batch, as `feeds.write_messages` leaves them.
+    """
+    schema = T.StructType([*MESSAGE, T.StructField("batch", T.StringType())])
+    reader = spark.readStream.schema(schema).option("maxFileAge", ALL_AGES)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*MESSAGE.fieldNames())
