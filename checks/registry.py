@@ -24,7 +24,7 @@ from lumentide.session import configure, pin, shared_dir
 from lumentide.sources import landed, raw, tables
 from lumentide.sources.files import Storage
 from lumentide.sources.versions import NotPublished
-from lumentide.streaming import enrich, feeds, sinks, source
+from lumentide.streaming import enrich, feeds, seen, sinks, source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -389,6 +389,20 @@ def _(spark, sf_dir):
     return spark.read.schema(schema).parquet(out)
 
 
+@register(
+    "dedupe_events_exact_stream", "event_id:s source:s event_timestamp:t event_date:d topic:s",
+    "delivered_once")
+def _(spark, sf_dir):
+    # As above, but with a restart before the copies, and a memory without an end.
+    path, out, offsets, ids = (shared_dir(spark, p) for p in ("delivered", "out", "offsets", "ids"))
+    events = inputs.redelivered_events(spark, sf_dir)
+    for some in ("event_date > '2024-01-20'", "event_date <= '2024-01-20'", "event_id is not null"):
+        events.filter(some).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(events.schema).parquet(path)
+        seen.start_exact_dedupe(stream, out, offsets, ids, fan_in=2, trigger=None).awaitTermination()
+    return tables.read_table(spark, out, events)
+
+
 @register("feed_messages", SENT_ALL, "", sql=oracle.query(_sent_sql("edits", "views")))
 def _(spark, sf_dir):
     # Two feeds, files as micro-batches; the jobs end when there is nothing more and start

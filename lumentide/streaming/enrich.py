@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lumentide.functions import adjusted_signal, consciousness_level, medium_dominance
 from lumentide.schemas import ENVELOPE
@@ -15,12 +15,13 @@ from lumentide.schemas import ENVELOPE
 
 def parse_envelope(messages: DataFrame) -> DataFrame:
     """Flat columns of the JSON messages, all NULL where a message is malformed."""
-    text = F.col("value").cast("string")
-    return (
-        messages.select(F.from_json(text, ENVELOPE).alias("_event"),
-                        F.col("topic").alias("kafka_topic"))
-        .select("_event.*", "kafka_topic")
-    )
+    return messages.select(
+        _event().alias("_event"), F.col("topic").alias("kafka_topic")
+    ).select("_event.*", "kafka_topic")
+
+
+def _event() -> Column:
+    return F.from_json(F.col("value").cast("string"), ENVELOPE)
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
@@ -45,9 +46,8 @@ def parse_and_enrich(messages: DataFrame, ingest_time: dt.datetime | None = None
     """Messages to enriched events as the sinks take them."""
     now = F.current_timestamp() if ingest_time is None else F.lit(ingest_time).cast("timestamp")
     return (
-        enrich(with_event_time(parse_envelope(messages)))
+        enrich(with_event_time(messages.select(_event().alias("_event")).select("_event.*")))
         .withColumn("ingested_at", now)
-        .drop("kafka_topic")
     )
 
 
