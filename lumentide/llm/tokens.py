@@ -10,7 +10,9 @@ order of `part`, and chunks in order of `chunk`, are the documents in ascending
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,17 +24,37 @@ from tokenizers import Tokenizer
 
 from lumentide.llm.common import utf8
 
-#: Words whose ids a worker remembers; others are encoded again when they come up again.
-REMEMBERED = 800_000
+#: Bytes of memory for words and their ids that a worker remembers; the first ones it meets,
+#: and so the frequent ones. Others are encoded again when they come up again.
+REMEMBERED = 160 << 20
+#: What an entry takes beside the bytes of the word and its ids.
+_ENTRY = 180
+#: A word of Latin letters between ASCII marks: the splitter makes each of the three a piece.
+#: (An apostrophe before letters may be a contraction.) Up to U+024F letters are in the same
+#: category and have the same lower case in all of Unicode's versions, and canonical
+#: composition changes none of them.
+_PLAIN = re.compile(
+    r"([!-&(-/:-@[-`{-~]*+)([a-z\u00b5\u00df-\u00f6\u00f8-\u01ba\u01bd-\u01bf\u01c6\u01c9\u01cc"
+    r"\u01ce-\u01f0\u01f3\u01f5-\u024f]++)([!-/:-@[-`{-~]*+)")
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones for
+    themselves, the others for the letters from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that never joins characters across white space.
 
     True of tokenizers that drop white space before splitting into words. The library
-    encodes each distinct word; a word with trailing full stops or commas is made of the
-    word and of them, A-Z are lower-cased as the tokenizer does.
+    encodes each distinct word. Words of Latin letters alone, which its normaliser only
+    lower-cases and its splitter leaves whole, go to the library's model directly, many in
+    one call and told apart by the mark of a word's end; all others go through all of it.
+    Marks around such a word are split off and encoded apart, as the library does.
     """
 
     def __init__(self, path: str):
@@ -41,7 +63,17 @@ class WordEncoder:
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()]
         self.mark_id, self.mark = special[0]
         self.specials = [s.encode() for _, s in special]
+        bare = json.loads(self.tokenizer.to_str())
+        suffix = bare["model"]["end_of_word_suffix"]
+        bare |= {"normalizer": None, "added_tokens": [], "post_processor": None, "pre_tokenizer": {
+            "type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}}
+        self.model = Tokenizer.from_str(json.dumps(bare))
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.letters = _byte_letters()
         self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -50,15 +82,21 @@ class WordEncoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
-    def _plain(self, word: bytes) -> tuple[bytes, bytes]:
-        """Lower-cased word and its trailing stops, where the two are encoded apart."""
-        if any(s in word for s in self.specials) or b"<|" in word:
-            return word, b""
-        word = word.lower()
-        core = word.rstrip(b".,")
-        if core and core != word and core[-1:].isalnum():
-            return core, word[len(core):]
-        return word, b""
+    def _by_model(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of plain lower-case letters."""
+        made: list[bytes] = []
+        for at in range(0, len(words), 5000):
+            part = words[at:at + 5000]
+            shown = " ".join(part).encode().decode("latin-1").replace(" ", "\n").translate(
+                self.letters).replace(self.letters[10], " ")
+            ids = np.array(self.model.encode_batch_fast(
+                [shown], add_special_tokens=False)[0].ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) != len(part):
+                raise AssertionError("words can't be told apart")
+            raw = ids.tobytes()
+            made += [raw[a:b] for a, b in zip([0, *stops], stops)]
+        return dict(zip(words, made))
 
     def _by_library(self, words: list[bytes]) -> Iterator[bytes]:
         """Many words in one call, told apart by a special token."""
@@ -79,28 +117,36 @@ class WordEncoder:
             yield np.array(self.tokenizer.encode(
                 word.decode(), add_special_tokens=False).ids, np.uint32).tobytes() if a else next(rest)
 
+    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that are not remembered, remembered from now on if there is room."""
+        texts = b"\n".join(words).decode().lower().split("\n")
+        # What may be a special token goes through the library whole.
+        cut = [None if "<|" in text else _PLAIN.fullmatch(text) for text in texts]
+        plain = [(word, *m.groups()) for word, m in zip(words, cut) if m]
+        marks = {mark.encode() for p in plain for mark in (p[1], p[3]) if mark}
+        other = list(marks.union(word for word, m in zip(words, cut) if not m))
+        made = dict(zip(other, self._by_library(other)))
+        cores = self._by_model(list({p[2]: None for p in plain}))
+        of_mark = {mark.decode(): made[mark] for mark in marks} | {"": b""}
+        made |= {word: of_mark[head] + cores[core] + of_mark[tail]
+                 for word, head, core, tail in plain}
+        if self.held < REMEMBERED:
+            self.known |= made
+            self.held += sum(map(len, made)) + sum(map(len, made.values())) + _ENTRY * len(made)
+        return made
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        new: set[bytes] = set()
-        for words in split:
-            new.update(set(words).difference(self.known))
-        own: dict[bytes, bytes] = {}
-        if new:
-            parts = {w: self._plain(w) for w in new}
-            units = {u for p in parts.values() for u in p if u and u not in self.known}
-            ids = dict(zip(units, self._by_library(list(units))))
-            ids[b""] = b""
-            get = lambda u: ids[u] if u in ids else self.known[u]
-            own = {w: get(a) + get(b) for w, (a, b) in parts.items()}
-            if len(self.known) < REMEMBERED:
-                self.known |= own
-                self.known.update((u, i) for u, i in ids.items() if u)
-                own = {}
-        if not own:
-            return [b"".join(map(self.known.__getitem__, words)) for words in split]
-        both = lambda w: self.known[w] if w in self.known else own[w]
-        return [b"".join(map(both, words)) for words in split]
+        words: list[bytes] = []
+        ends = [0]
+        for text in texts:
+            words += text.split()
+            ends.append(len(words))
+        found = list(map(self.known.get, words))
+        if None in found:
+            made = self._new(list({w: None for w, ids in zip(words, found) if ids is None}))
+            found = [made[w] if ids is None else ids for w, ids in zip(words, found)]
+        return [b"".join(found[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 def slices(texts: list[bytes], size: int = 2 << 20) -> Iterator[tuple[int, int]]:
