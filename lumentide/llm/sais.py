@@ -17,14 +17,24 @@ def _kinds(text: np.ndarray) -> np.ndarray:
     return small
 
 
+#: Names are sorted by recursion up to so many: buckets are walked one by one.
+MOST_BUCKETS = 4096
+
+
+def _stable_order(chars: np.ndarray, sigma: int) -> np.ndarray:
+    """Places of the characters in ascending order; a radix sort while two bytes hold them."""
+    return np.argsort(chars.astype(np.uint16) if sigma <= 1 << 16 else chars, kind="stable")
+
+
 def _place(suffixes: np.ndarray, slots: np.ndarray, order: np.ndarray, chars: np.ndarray,
            sign: int) -> None:
     """Put suffixes, in their order, into the next free slots of their characters' buckets."""
-    by = np.argsort(chars, kind="stable")
-    sorted_chars = chars[by]
-    first = np.searchsorted(sorted_chars, sorted_chars)
-    order[slots[sorted_chars] + sign * (np.arange(len(by)) - first)] = suffixes[by]
-    slots += sign * np.bincount(chars, minlength=len(slots))
+    by = _stable_order(chars, len(slots))
+    counts = np.bincount(chars, minlength=len(slots))
+    # Where each character's run begins, less than its place: its free slot, counted on.
+    shift = slots - sign * (np.cumsum(counts) - counts)
+    order[shift[chars[by]] + sign * np.arange(len(by))] = suffixes[by]
+    slots += sign * counts
 
 
 def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -36,7 +46,7 @@ def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray, bounds: np.nda
     sigma = len(bounds) - 1
     order = np.full(len(text), -1, np.int64)
     chars = text[lms]
-    by_char = np.argsort(chars, kind="stable")
+    by_char = _stable_order(chars, sigma)
     seeds, cuts = lms[by_char], np.searchsorted(chars[by_char], np.arange(sigma + 1))
     heads = bounds[:-1].copy()
 
@@ -95,19 +105,28 @@ def _lms_names(text: np.ndarray, lms: np.ndarray, order: np.ndarray, is_lms: np.
 
 
 def _by_doubling(names: np.ndarray) -> np.ndarray:
-    """Suffix array of a string over a large alphabet: ranks of prefixes are doubled."""
-    n, rank, h = len(names), names.astype(np.int64) + 1, 1
+    """Suffix array of a string over a large alphabet: ranks of prefixes are doubled.
+
+    A suffix's rank is the first place of those it can't be told from yet; only these are
+    sorted again, so a round costs less than the one before.
+    """
+    n, h = len(names), 1
+    order = _stable_order(names, int(names.max()) + 1)
+    rank = np.empty(n, np.int64)
+    places, keys = np.arange(n), names[order]
     while True:
-        after = np.zeros(n, np.int64)
-        after[:-h or None] = rank[h:]
-        key = rank * (n + 2) + after
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)]) + 1
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        h *= 2
-        if new[-1] == n or h >= n:
+        new = np.append(True, keys[1:] != keys[:-1])
+        rank[order[places]] = places[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        alone = new & np.append(new[1:], True)
+        places = places[~alone]
+        if not len(places):
             return order
+        suffixes = order[places]
+        after = np.where(suffixes + h < n, rank[np.minimum(suffixes + h, n - 1)] + 1, 0)
+        keys = rank[suffixes] * (n + 1) + after
+        by = np.argsort(keys, kind="stable")
+        keys, order[places] = keys[by], suffixes[by]
+        h *= 2
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -130,10 +149,10 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     order = _induce(text, small, lms, bounds)
     order[0] = n
     names = _lms_names(text, lms, order, is_lms)
-    if names.max() + 1 < len(lms):
-        deep = suffix_array(names) if names.max() < 4096 else _by_doubling(names)
+    if names.max() + 1 == len(lms):
+        deep = np.argsort(names)
     else:
-        deep = np.argsort(names, kind="stable")
+        deep = suffix_array(names) if names.max() < MOST_BUCKETS else _by_doubling(names)
     order = _induce(text, small, lms[deep], bounds)
     order[0] = n
     return order[1:]

@@ -325,11 +325,12 @@ _SPANS = T.ArrayType(T.StructType([
     T.StructField("low", T.LongType())]))
 
 
-def sorted_shards(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+def sorted_shards(distinct: DataFrame, length: int, shard_bytes: int, tasks: int) -> DataFrame:
     """`digest` and `spans`: runs of windows (`at`, `n`) that also start in document `low`.
 
     `distinct` has `key`, `context`, `low`, `high`. Rows arrive sorted by key and are cut into
-    shards of about `shard_bytes` between two keys.
+    shards of about `shard_bytes` between two keys. Equal windows have equal keys, so a
+    context that is its key's only one shares none with any other; it needs no sorting.
     """
     schema = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("spans", _SPANS)])
 
@@ -351,39 +352,65 @@ def sorted_shards(distinct: DataFrame, length: int, shard_bytes: int) -> DataFra
             return None
         text = np.searchsorted(ends, at, side="right")
         offsets = np.searchsorted(text, np.arange(len(rows) + 1))
+        batch = spans_of(list(rows), offsets, at - (ends - windows)[text], size, smallest[at])
+        return batch.filter(pa.array(np.diff(offsets) > 0))
+
+    def spans_of(digests: list[bytes], offsets, at, size, low) -> pa.RecordBatch:
         spans = pa.ListArray.from_arrays(
             pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array((at - (ends - windows)[text]).astype(np.int32)),
-                 pa.array(size.astype(np.int32)), pa.array(smallest[at])], names=["at", "n", "low"]))
-        batch = pa.RecordBatch.from_arrays([pa.array(list(rows), pa.binary()), spans], names=schema.names)
-        return batch.filter(pa.array(np.diff(offsets) > 0))
+                [pa.array(np.asarray(at, np.int32)), pa.array(np.asarray(size, np.int32)),
+                 pa.array(np.asarray(low, np.int64))], names=["at", "n", "low"]))
+        return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), spans], names=schema.names)
+
+    def alone(rows: dict[bytes, list]) -> pa.RecordBatch:
+        """Contexts that no other one shares a key with: all their windows have their holders."""
+        n = np.array([len(r[0]) - length + 1 for r in rows.values()])
+        return spans_of(list(rows), np.arange(len(rows) + 1), np.zeros(len(n)), n,
+                        [r[1] for r in rows.values()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: dict[bytes, list] = {}
+        shard: dict[bytes, list] = {}
+        single: dict[bytes, list] = {}
+        own: dict[bytes, list] = {}
         held, last = 0, None
+
+        def close() -> int:
+            """The key's contexts go to the shard, a single one with two holders apart."""
+            if len(own) > 1:
+                shard.update(own)
+                return sum(len(r[0]) for r in own.values())
+            single.update({d: r for d, r in own.items() if r[1] < r[2]})
+            return 0
+
         for batch in batches:
             for key, body, low, high in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != last:
+                    held += close()
+                    own, last = {}, key
+                    if held >= shard_bytes:
+                        made = solve(shard)
+                        if made is not None:
+                            yield made
+                        shard, held = {}, 0
+                    if len(single) >= 10_000:
+                        yield alone(single)
+                        single = {}
                 digest = context_digest(body)
-                if held >= shard_bytes and key != last:
-                    made = solve(rows)
-                    if made is not None:
-                        yield made
-                    rows, held = {}, 0
-                last = key
-                row = rows.get(digest)
+                row = own.get(digest)
                 if row is None:
-                    rows[digest] = [body, low, high]
-                    held += len(body)
+                    own[digest] = [body, low, high]
                 else:
                     row[1], row[2] = min(row[1], low), max(row[2], high)
-        if rows:
-            made = solve(rows)
-            if made is not None:
-                yield made
+        close()
+        if single:
+            yield alone(single)
+        made = solve(shard) if shard else None
+        if made is not None:
+            yield made
 
     return (
         distinct.select("key", "context", "low", "high")
-        .repartition("key").sortWithinPartitions("key").mapInArrow(run, schema))
+        .repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(run, schema))
 
 
 def by_windows(distinct: DataFrame, length: int) -> DataFrame:
@@ -399,16 +426,18 @@ def by_windows(distinct: DataFrame, length: int) -> DataFrame:
             lambda i: F.struct(i.alias("at"), F.substring("context", i + 1, F.lit(length)).alias("w"))
         )).alias("_x"))
         .select("digest", "low", "high", "_x.*"))
-    holders = each.groupBy("w").agg(F.min("low").alias("least"), F.max("high").alias("most"))
+    # Stored first: a join with an aggregate on its own key is not split where a key is hot.
+    holders = written(each.groupBy("w").agg(
+        F.min("low").alias("least"), F.max("high").alias("most")).filter("least < most"), "holders")
     return (
-        each.join(holders.filter("least < most"), "w")
+        each.join(holders, "w")
         .groupBy("digest").agg(F.sort_array(F.collect_list(F.struct(
             "at", F.lit(1).alias("n"), F.col("least").alias("low")))).alias("spans")))
 
 
 def substring_dedup(
     docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-    shard_bytes: int = 1 << 19, hot_bytes: int = 64 << 20,
+    shard_bytes: int = 1 << 19, hot_bytes: int = 64 << 20, task_bytes: int = 32 << 20,
 ) -> DataFrame:
     """Remove every byte covered by a `length`-byte string that starts in a smaller document too.
 
@@ -433,15 +462,21 @@ def substring_dedup(
     for path in {f.rpartition("/")[0] for f in found.inputFiles()[:1]}:
         remove_dir(docs.sparkSession, path)  # nothing reads it any more
     distinct = held.filter(F.col("context").isNotNull())
-    hot = (
+    sizes = written(
         distinct.groupBy("key").agg(F.sum(F.octet_length("context")).alias("_bytes"))
-        .filter(F.col("_bytes") > hot_bytes).select("key"))
-    hot = written(hot, "hot-keys")
+        .groupBy((F.col("_bytes") > hot_bytes).alias("_hot"), F.when(
+            F.col("_bytes") > hot_bytes, F.col("key")).alias("key")).agg(F.sum("_bytes").alias("_bytes")),
+        "key-sizes")
+    hot = sizes.filter("_hot").select("key")
+    total = sizes.filter("not _hot").agg(F.sum("_bytes")).first()[0] or 0
+    # As many tasks as the measured bytes need, and what the cluster is set to at least.
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-total // task_bytes))
     if hot.isEmpty():
-        solved = sorted_shards(distinct, length, shard_bytes)
+        solved = sorted_shards(distinct, length, shard_bytes, tasks)
     else:
         solved = sorted_shards(
-            distinct.join(hot, "key", "left_anti"), length, shard_bytes
+            distinct.join(hot, "key", "left_anti"), length, shard_bytes, tasks
         ).unionByName(by_windows(distinct.join(hot, "key", "left_semi"), length))
     solved = written(solved, "spans")
     covered = (
