@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumentide.llm.common import ascii_lower
+from lumentide.llm.common import ascii_lower, on_own_columns, written
 from lumentide.llm.windows import with_windows
 
 #: Words are runs of digits, letters and everything beyond ASCII.
@@ -34,20 +34,20 @@ def benchmark_windows(benchmark: DataFrame, n: int, item_col: str, text_col: str
         .groupBy("_n", "_window").agg(F.collect_set("_item").alias("_items")))
 
 
-def merged_runs(spans: Column) -> Column:
-    """Sorted spans (`at`, `end` exclusive) merged into disjoint runs."""
-    empty = F.array().cast("array<struct<at:int,end:int>>")
+def hit_positions(spans: Column) -> Column:
+    """The places inside any of the spans (`at`, `end` exclusive), ascending, each once."""
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(
+        spans, lambda s: F.sequence(s["at"], s["end"] - 1)))))
 
-    def step(runs: Column, span: Column) -> Column:
-        last = F.element_at(runs, -1)
-        grown = F.concat(
-            F.slice(runs, F.lit(1), F.size(runs) - 1),
-            F.array(F.struct(last["at"].alias("at"),
-                             F.greatest(last["end"], span["end"]).alias("end"))))
-        return F.when((F.size(runs) > 0) & (F.try_element_at(runs, F.lit(-1))["end"] >= span["at"]),
-                      grown).otherwise(F.concat(runs, F.array(span)))
 
-    return F.aggregate(F.array_sort(spans), empty, step)
+def as_runs(places: str) -> Column:
+    """A column of ascending places as disjoint runs (`at`, `end` exclusive), in linear time:
+    a run begins where the place before is missing, and ends where the next one is."""
+    ends_before = lambda p, i: (i == 0) | (F.get(places, i - 1) != p - 1)
+    ends_after = lambda p, i: (i == F.size(places) - 1) | (F.get(places, i + 1) != p + 1)
+    return F.zip_with(
+        F.filter(places, ends_before), F.filter(places, ends_after),
+        lambda a, b: F.struct(a.alias("at"), (b + 1).alias("end")))
 
 
 def decontaminate(
@@ -62,9 +62,8 @@ def decontaminate(
     `at`..`end`) and `contaminated`; an input column of one of these names is replaced.
     `without_spans` or a filter on `contaminated` removes what was found.
 
-    The hash set of benchmark windows is broadcast if the benchmark's texts hold at most
-    `broadcast_bytes` (measured first, by one aggregate); a larger one is joined by
-    shuffling. Training windows are scanned as arrays of 64-bit hashes of lower-cased words
+    The hash set of benchmark windows is broadcast if it takes at most `broadcast_bytes`
+    (the windows are stored and measured first); a larger one is joined by shuffling. Training windows are scanned as arrays of 64-bit hashes of lower-cased words
     (Unicode's lower case, which tells no words apart that A-Z alone makes equal), and every
     hit is verified word by word, so hash collisions change nothing. Only hits are shuffled, by
     document, besides the texts on their way to the result.
@@ -74,12 +73,25 @@ def decontaminate(
     other texts have their own. NULL ids are ids like any other. Repeated benchmark
     rows count once; a NULL item id is an item without a name and is not listed.
     """
+    return on_own_columns(
+        docs, lambda own: _with_hits(own, benchmark, n, id_col, text_col, item_col,
+                                     benchmark_text_col, broadcast_bytes),
+        keep=(id_col, text_col), add=("n_words", "n_hit", "items", "hit_runs", "contaminated"))
+
+
+def _with_hits(
+    docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str, item_col: str,
+    benchmark_text_col: str, broadcast_bytes: int,
+) -> DataFrame:
     source = docs.select(
         F.col(id_col).alias("_doc"), F.xxhash64(text_col).alias("_text_hash"),
         _words(F.col(text_col)).alias("_words"))
-    windows = benchmark_windows(benchmark, n, item_col, benchmark_text_col)
-    size = benchmark.agg(F.sum(F.octet_length(benchmark_text_col))).first()[0] or 0
-    lengths = [r[0] for r in windows.select("_n").distinct().collect()]  # n values at most
+    windows = written(benchmark_windows(benchmark, n, item_col, benchmark_text_col), "windows")
+    # What a row takes in the broadcast relation: its words, its items, and some 100 bytes.
+    bytes_of = (F.octet_length(F.array_join("_window", " ")) + 100 + F.aggregate(
+        "_items", F.lit(0), lambda total, item: total + F.octet_length(item) + 16)).cast("bigint")
+    sizes = dict(windows.groupBy("_n").agg(F.sum(bytes_of)).collect())  # n rows at most
+    lengths, size = list(sizes), sum(sizes.values())
     found = None
     # The outer generator: an inner one gets a filter on its array's size, which would be
     # pushed down to the scan with a copy of the hashing for each mention of the array.
@@ -113,8 +125,9 @@ def decontaminate(
         of_doc = (
             found.groupBy("_doc", F.col("_text_hash").alias("_hit_hash"))
             .agg(F.collect_set("_span").alias("_spans"), F.collect_set("_items").alias("_lists"))
-            .select("_doc", "_hit_hash", merged_runs(F.col("_spans")).alias("_runs"),
-                    F.array_sort(F.array_distinct(F.flatten("_lists"))).alias("_items")))
+            .select("_doc", "_hit_hash", hit_positions(F.col("_spans")).alias("_places"),
+                    F.array_sort(F.array_distinct(F.flatten("_lists"))).alias("_items"))
+            .select("_doc", "_hit_hash", as_runs("_places").alias("_runs"), "_items"))
         met = base.join(
             of_doc, base[id_col].eqNullSafe(of_doc["_doc"])
             & (base["_text_hash"] == of_doc["_hit_hash"]), "left",

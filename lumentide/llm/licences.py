@@ -76,8 +76,13 @@ EQUIVALENT: tuple[tuple[str, str], ...] = (
 # --- end of fixed values ---
 
 #: Where a text's appendix begins; the licence is also known without it.
-_APPENDIX = {"Apache-2.0": "APPENDIX: How to apply", "GPL-3.0": "How to Apply These Terms",
-             "MPL-2.0": "Exhibit A - Source"}
+_APPENDIX = {
+    "Apache-2.0": "APPENDIX: How to apply", "GFDL-1.2": "ADDENDUM: How to use",
+    "GFDL-1.3": "ADDENDUM: How to use", "GPL-1.0": "Appendix: How to Apply These Terms",
+    "GPL-2.0": "How to Apply These Terms", "GPL-3.0": "How to Apply These Terms",
+    "LGPL-2.0": "How to Apply These Terms", "LGPL-2.1": "How to Apply These Terms",
+    "MPL-1.1": "EXHIBIT A", "MPL-2.0": "Exhibit A - Source",
+}
 
 
 def whole_texts() -> dict[str, list[str]]:

@@ -8,7 +8,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lumentide.llm.common import utf8, with_arrow_columns
+from lumentide.llm.common import on_own_columns, utf8, with_arrow_columns, written
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -60,11 +60,22 @@ def line_dedup(
     they count once, and all of them keep a line whose largest document they are. A
     NULL id is one document and the smallest. An empty table gives an empty table.
     """
+    return on_own_columns(
+        docs, lambda own: _without_lines(own, id_col, text_col, min_chars, min_docs),
+        keep=(id_col, text_col), add=("n_lines", "n_dropped", "kept_text"))
+
+
+def _without_lines(
+    docs: DataFrame, id_col: str, text_col: str, min_chars: int, min_docs: int,
+) -> DataFrame:
     keys = _line_keys(docs, id_col, text_col, min_chars)
-    hot = (
+    # Stored before it meets the keys: Spark then knows its size, broadcasts it if it is
+    # small and else splits a hot line over tasks. A join with an aggregate on its own key
+    # would not be split.
+    hot = written(
         keys.groupBy("_key", "_doc").agg(F.lit(1).alias("_one"))
         .groupBy("_key").agg(F.count("*").alias("_docs"), F.max("_doc").alias("_last"))
-        .filter(F.col("_docs") >= min_docs).drop("_docs"))
+        .filter(F.col("_docs") >= min_docs).drop("_docs"), "hot-lines")
     lost = (
         keys.join(hot, "_key").filter(~F.col("_doc").eqNullSafe(F.col("_last")))
         .groupBy("_doc").agg(F.collect_set("_key").alias("_lost")))

@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame, types as T
 from lumentide.llm.common import with_arrow_columns
 
 SPACE = "▁"
-#: Chunks whose best segmentation a worker remembers.
-REMEMBERED = 900_000
+#: Bytes of memory for chunks whose best segmentation a worker remembers, and what one takes
+#: beside its characters and ids.
+REMEMBERED, _ENTRY = 180 << 20, 160
 #: What a character without any piece costs beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -59,6 +60,7 @@ class PieceLattice:
         if crossing:
             raise ValueError(f"pieces across white space: {crossing[:3]}")
         self.known: dict[str, bytes] = {}
+        self.held = 0
         self.ways = lru_cache(maxsize=20_000)(self.n_best)
 
     @staticmethod
@@ -196,8 +198,9 @@ class PieceLattice:
             else:
                 best, gap, ids = self._best(chunk)
                 found = struct.pack(f"<2d{len(ids)}i", best, gap, *ids)
-            if len(self.known) < REMEMBERED:
+            if self.held < REMEMBERED:
                 self.known[chunk] = found
+                self.held += _ENTRY + 2 * len(chunk) + len(found)
         return found
 
     def chunks(self, text: str) -> list[str]:

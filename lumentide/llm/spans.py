@@ -10,7 +10,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lumentide.llm.common import cut_batches, utf8, with_arrow_columns, written
+from lumentide.llm.common import (
+    cut_batches, on_own_columns, utf8, with_arrow_columns, written,
+)
 
 #: A sentence with the white space behind it: up to a stop before white space, or a line.
 _SENTENCE = re.compile(rb"[^\n]*?[.!?]+[)\]\"']*(?:\s+|\Z)|[^\n]*\n\s*|[^\n]+\Z")
@@ -170,8 +172,8 @@ def passage_digests(text: bytes, passage: int, near: np.ndarray) -> list[tuple[i
 
 def sentence_span_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
-    most_words: int = 16, least_words: int = 8, passage: int | None = None,
-    least_bytes: int = 64,
+    most_words: int = 16, least_words: int = 0, passage: int | None = None,
+    least_bytes: int = 0,
 ) -> DataFrame:
     """Remove every sentence covered by a run of `span` sentences found earlier already.
 
@@ -181,8 +183,8 @@ def sentence_span_dedup(
     before white space, a full stop of scripts without white space, or a line break; one longer than `most_words` words counts as
     several, cut after every `most_words` words from its beginning. A repeated passage that
     begins with a sentence and has `span` times `most_words` words is therefore always found,
-    with stops or without. Runs of less than `least_words` words count if those have
-    `least_bytes` bytes. More than 64 bytes without white space are no word: they are cut
+    with stops or without. Every run counts, however short; with `least_words` and
+    `least_bytes` those that have neither as many words nor as many bytes don't. More than 64 bytes without white space are no word: they are cut
     after every 4 * `most_words` characters, and each character counts in a passage. A-Z are
     lower-cased and white space is one space; the remaining text is left as it is.
 
@@ -192,8 +194,8 @@ def sentence_span_dedup(
     each stretch, chosen by its content alone, is looked up first; only stretches around a
     window found twice are hashed one by one, so that the result is that of hashing all.
 
-    Only digests move: the first place of each is found by partial aggregation, the join back
-    is an equi-join that AQE splits where a passage is in very many documents. The texts move
+    Only digests move: the first place of each is found by partial aggregation and stored;
+    the equi-join back is split where a passage is in very many documents. The texts move
     once, to meet the runs they lose; with `passage` those with repeated windows once more.
 
     NULL and empty texts have no sentences; their kept text is empty. A text with fewer
@@ -202,6 +204,16 @@ def sentence_span_dedup(
     """
     if passage is not None and passage < 2:
         raise ValueError("a passage has two words at least")
+    return on_own_columns(
+        docs, lambda own: _without_spans(
+            own, id_col, text_col, span, most_words, least_words, passage, least_bytes),
+        keep=(id_col, text_col), add=("n_sentences", "n_removed", "kept_text"))
+
+
+def _without_spans(
+    docs: DataFrame, id_col: str, text_col: str, span: int, most_words: int, least_words: int,
+    passage: int | None, least_bytes: int,
+) -> DataFrame:
     source = docs.select(
         F.col(id_col).alias("_doc"), F.coalesce(text_col, F.lit("")).alias("_text")
     ).withColumn("_tag", F.xxhash64("_text"))
@@ -238,9 +250,11 @@ def sentence_span_dedup(
     place = F.struct("_doc", "_tag", "_at")
 
     def repeated(runs: DataFrame) -> DataFrame:
-        again = (
+        # Stored before it meets the runs: its shuffle files go before the next are made, and
+        # AQE can split the runs of a passage that very many documents share.
+        again = written(
             runs.groupBy("_digest").agg(F.min(place).alias("_first"), F.count("*").alias("_n"))
-            .filter("_n > 1").drop("_n"))
+            .filter("_n > 1").drop("_n"), "repeated")
         return runs.join(again, "_digest")
 
     later = ~place.eqNullSafe(F.col("_first"))

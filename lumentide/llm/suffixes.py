@@ -18,7 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lumentide.llm.common import cut_batches, utf8, with_arrow_columns, written
+from lumentide.llm.common import (
+    cut_batches, on_own_columns, utf8, with_arrow_columns, written,
+)
 from lumentide.llm.sais import common_prefixes, suffix_array
 from lumentide.session import remove_dir
 
@@ -456,6 +458,16 @@ def substring_dedup(
     anything from another, and a string that starts in any of them counts for larger ids.
     A NULL id is smaller than all others. An empty table gives an empty table.
     """
+    return on_own_columns(
+        docs, lambda own: _without_repeats(
+            own, length, id_col, text_col, shard_bytes, hot_bytes, task_bytes),
+        keep=(id_col, text_col), add=("n_bytes", "n_removed", "n_spans", "removed", "kept"))
+
+
+def _without_repeats(
+    docs: DataFrame, length: int, id_col: str, text_col: str, shard_bytes: int, hot_bytes: int,
+    task_bytes: int,
+) -> DataFrame:
     source = _source(docs, id_col, text_col)
     found = written(shared_runs(source, length), "shared-runs")
     held = written(contexts(source, found, length), "contexts")

@@ -11,14 +11,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lumentide.llm.common import utf8, with_arrow_columns
+from lumentide.llm.common import utf8, with_arrow_columns, written
 
 #: ASCII letters lower-cased, other ASCII characters to spaces, everything beyond as it is.
 _LETTERS = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 #: Lengths of the word beginnings that are tokens besides the word itself.
 STEMS = (3, 4, 5, 6, 7)
-REMEMBERED = 800_000
+#: Bytes of memory for words whose scores a worker remembers, and what one takes besides.
+REMEMBERED, _ENTRY = 120 << 20, 150
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -51,14 +52,16 @@ class Scorer:
     def __init__(self, log_odds: dict[bytes, float], background: float):
         self.log_odds, self.background = log_odds, background
         self.known: dict[bytes, float] = {}
+        self.held = 0
 
     def score(self, word: bytes) -> float:
         found = self.known.get(word)
         if found is None:
             found = max((self.log_odds[s] for s in stems_of(word) if s in self.log_odds),
                         default=self.background)
-            if len(self.known) < REMEMBERED:
+            if self.held < REMEMBERED:
                 self.known[word] = found
+                self.held += _ENTRY + len(word)
         return found
 
     def scores(self, words: list[bytes]) -> np.ndarray:
@@ -118,12 +121,13 @@ def training_sample(
 
     The sample is by a hash of the id, at a rate from the class's size. Its ids, bounded by
     `per_class`, are broadcast to the documents, so that no text moves before it is chosen.
-    Equal texts count once.
+    Equal texts count once, in a fold by a hash of the text, and a document labelled both
+    ways is toxic: the sample is the same whatever the order of the rows.
     """
     rows = (
         labels.select(F.col(id_col).alias("_doc"), F.col(label_col).cast("int").alias("_label"))
         .filter(F.col("_doc").isNotNull() & F.col("_label").isin(0, 1))
-        .filter(~held_out(F.col("_doc"), folds)).dropDuplicates(["_doc"]))
+        .filter(~held_out(F.col("_doc"), folds)).groupBy("_doc").agg(F.max("_label").alias("_label")))
     sizes = {r[0]: r[1] for r in rows.groupBy("_label").count().collect()}
     rate = F.lit(0)
     for label in (0, 1):
@@ -133,8 +137,8 @@ def training_sample(
     return (
         docs.select(F.col(id_col).alias("_doc"), F.coalesce(text_col, F.lit("")).alias("_text"))
         .join(F.broadcast(chosen), "_doc")
-        .withColumn("_fold", F.crc32(F.col("_doc").cast("string").cast("binary")) % folds)
-        .withColumn("_hash", F.xxhash64("_text"))
+        .withColumn("_fold", F.pmod(F.xxhash64("_text"), F.lit(folds - 1)) + 1)
+        .withColumn("_hash", F.sha2("_text", 256))
         .dropDuplicates(["_hash", "_label"]).select("_text", "_label", "_fold"))
 
 
@@ -187,7 +191,9 @@ def fit(
     its clean texts, and the calibration. Fold 0 is held out. With one class only, or no
     labels, every text gets that class's share as its score.
     """
-    sample = training_sample(docs, labels, per_class, id_col, text_col, label_col)
+    # Stored: the documents are read once for the sample, whatever is learned from it.
+    sample = written(
+        training_sample(docs, labels, per_class, id_col, text_col, label_col), "sample")
     counted = _token_counts(sample.filter("_fold < 4"))
     sums = counted.filter(~F.col("token").endswith(F.lit(b"*"))).agg(
         F.sum("clean"), F.sum("toxic")).first()

@@ -332,3 +332,14 @@ def test_pipeline_keeps_the_n_best(spark, sf_dir):
     assert got[1]["ids"] == ids.tolist() and [w["score"] for w in got[1]["n_best"]] == scores
     assert len(scores) == 4 and len(got[2]["n_best"]) == len(got[3]["n_best"]) == 1
     assert got[1]["round_trip"] and got[1]["score"] == 7
+
+
+def test_the_model_does_not_depend_on_the_order_of_rows(spark, sf_dir):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    both = labels.unionByName(labels.withColumn("toxic", (F.col("doc_id") % 7 == 0).cast("int")))
+    models = [toxicity.fit(docs.unionByName(docs).repartition(n), both.repartition(n))
+              for n in (3, 7)]
+    assert models[0].log_odds.keys() == models[1].log_odds.keys()
+    assert models[0].weights == pytest.approx(models[1].weights, rel=1e-9)
+    assert models[0].background == pytest.approx(models[1].background, rel=1e-12)

@@ -2,12 +2,14 @@
 
 import collections
 import hashlib
+import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from lumentide.llm import decontaminate as decon, licences, quality, spans
+from lumentide.llm import decontaminate as decon, licences, quality, queries, spans, suffixes
 from lumentide.llm.lines import line_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_lines long, kept string"
@@ -61,6 +63,8 @@ def test_repeated_passages_go_from_later_documents(spark):
     texts = [(1, f"First of all. {PASSAGE} The end is here."), (2, f"Other text.\n{PASSAGE}\nTail."),
              (3, PASSAGE.upper()), (4, None), (5, ""), (6, "Of. The. It."), (7, "Of. The. It.")]
     got = rows(spans.sentence_span_dedup(frame(spark, texts)))
+    assert got[7]["n_removed"] == 3 and got[7]["kept_text"] == ""  # short runs count
+    got = rows(spans.sentence_span_dedup(frame(spark, texts), least_words=8, least_bytes=64))
     assert got[1]["n_removed"] == 0 and got[1]["kept_text"] == texts[0][1]
     assert got[2]["kept_text"] == "Other text.\nTail." and got[2]["n_removed"] == 12
     assert got[3]["kept_text"] == "" and got[4]["kept_text"] == got[5]["kept_text"] == ""
@@ -73,27 +77,54 @@ def test_passages_without_stops_are_found(spark):
     assert got[2]["n_removed"] == 4 and got[2]["kept_text"] == "Lead.\n"
 
 
-def test_spans_equal_brute_force(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    seen, expected = set(), {}
-    for doc, text in sorted(map(tuple, docs.collect())):
-        parts = spans.units(text.encode(), 16)
-        assert b"".join(parts) == text.encode()
+def brute_spans(docs, least_words, passage=None):
+    """Number of sentences that lose text and the digest of what stays, by document."""
+    seen, stretches, expected = set(), set(), {}
+    for doc, text in docs:
+        raw = (text or "").encode()
+        parts = spans.units(raw, 16)
+        assert b"".join(parts) == raw
         worded = [i for i, p in enumerate(parts) if p.split()]
-        gone = set()
+        ends = list(itertools.accumulate(map(len, parts)))
+        stays = bytearray(b"\1" * len(raw))
         for k in range(max(1, len(worded) - 2)):
             run = tuple(tuple(parts[i].lower().split()) for i in worded[k:k + 3])
-            if sum(map(len, run)) >= 8:
+            if run and sum(map(len, run)) >= least_words:
                 if run in seen:
-                    gone.update(worded[k:k + 3])
+                    for i in worded[k:k + 3]:
+                        stays[ends[i] - len(parts[i]):ends[i]] = bytes(len(parts[i]))
                 seen.add(run)
-        kept = b"".join(p for i, p in enumerate(parts) if i not in gone)
-        expected[doc] = (len(gone), hashlib.sha256(kept).hexdigest())
-    got = spans.sentence_span_dedup(docs).select(
+        if passage:
+            words = list(re.finditer(rb"[^ \t-\r]+", raw))
+            places = [m.start() for m in words] + [len(raw)]
+            assert all(len(m[0]) <= 64 for m in words)
+            for k in range(len(words) - passage + 1):
+                stretch = tuple(m[0].lower() for m in words[k:k + passage])
+                if stretch in stretches:
+                    stays[places[k]:places[k + passage]] = bytes(places[k + passage] - places[k])
+                stretches.add(stretch)
+        lost = sum(0 in stays[ends[i] - len(parts[i]):ends[i]] for i in worded)
+        kept = bytes(itertools.compress(raw, stays))
+        expected[doc] = (lost, hashlib.sha256(kept).hexdigest())
+    return expected
+
+
+@pytest.mark.parametrize("floor", [0, 8])
+def test_spans_equal_brute_force(spark, sf_dir, floor):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    expected = brute_spans(sorted(map(tuple, docs.collect())), floor)
+    got = spans.sentence_span_dedup(docs, least_words=floor, least_bytes=64 if floor else 0).select(
         "doc_id", "n_removed", F.sha2("kept_text", 256)).collect()
     assert {r[0]: (r[1], r[2]) for r in got} == expected
 
 
+def test_registered_spans_query_equals_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    expected = brute_spans(sorted(map(tuple, docs.collect())), 0, passage=48)
+    got = queries.QUERIES["op3_sentence_spans"](spark, sf_dir).collect()
+    assert {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in got} == expected
+
+
 def test_passages_at_every_offset(spark):
     passage = " ".join(f"p{i}" for i in range(50))
     texts = [(0, f"Once. {passage} and on")] + [
@@ -181,7 +212,10 @@ def test_licences_of_many_blocks_inside_a_document(spark):
 
 def test_whole_licence_texts(spark):
     own = [(name, t) for name, texts in licences.whole_texts().items() for t in texts]
-    assert {n for n, _ in own} == {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0", "MPL-2.0"}
+    assert {n for n, _ in own} == {
+        "Apache-2.0", "Artistic-1.0-Perl", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GFDL-1.2",
+        "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0",
+        "MPL-1.1", "MPL-2.0"}
     texts = [(i, t) for i, (_, t) in enumerate(own)] + [
         (100 + i, f"Code before.\n\n{t}\n\nCode behind.") for i, (_, t) in enumerate(own)]
     got = rows(licences.license_scan(frame(spark, texts), licences.known_licences(spark)))
@@ -232,3 +266,65 @@ def test_buckets_are_lower_ends_within_a_128th(spark):
     found = spark.range(0, 100_000, 7).select("id", quality.bucket(F.col("id")).alias("b")).collect()
     assert all(b <= i and (i - b) * 128 <= max(i, 1) for i, b in found)
     assert all(b == i for i, b in found if i < 256)
+
+
+def test_every_run_counts_however_short(spark):
+    texts = [(1, "Buy cheap watches now."), (2, "Buy cheap watches now."), (3, "Buy cheap watches.")]
+    got = rows(spans.sentence_span_dedup(frame(spark, texts)))
+    assert [got[i]["kept_text"] for i in (1, 2, 3)] == [texts[0][1], "", texts[2][1]]
+
+
+def test_columns_named_like_the_operators_own(spark):
+    names = ["_lost", "_gone", "_runs", "_items", "_spans", "_words", "_text_hash", "_key", "_doc"]
+    plain = frame(spark, [(1, f"{LINE}\n{PASSAGE}"), (2, f"{LINE}\n{PASSAGE}"), (3, None)])
+    docs = plain.withColumns({c: F.lit(i) for i, c in enumerate(names)})
+    items = spark.createDataFrame([(1, LINE)], "item_id long, text string")
+    for apply in (line_dedup, lambda d: spans.sentence_span_dedup(d, passage=48),
+                  lambda d: decon.decontaminate(d, items), suffixes.substring_dedup):
+        clashing, alone = apply(docs), apply(plain)
+        assert clashing.drop(*names).columns == alone.columns
+        assert clashing.drop(*names).exceptAll(alone).isEmpty()
+        assert {tuple(r) for r in clashing.select(*names).collect()} == {tuple(range(len(names)))}
+
+
+def test_a_hot_line_is_split_over_tasks(spark, plan):
+    """The stored keys have an exchange of their own, so AQE can split the other side."""
+    rows_ = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.when(F.col("id") % 10 != 0, LINE + "\n").otherwise(""),
+                                              F.lit("own line of this document number "), "id",
+                                              F.lit(", long enough to count")).alias("text"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = line_dedup(rows_)
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hits_all_over_a_long_document_take_linear_time(spark):
+    item = " ".join(f"w{i}" for i in range(10))
+    docs = spark.createDataFrame([(1, f"{item} x " * 20_000), (2, f"{item} " * 5)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = rows(decon.decontaminate(docs, items))
+    assert got[1]["n_hit"] == 200_000 and len(got[1]["hit_runs"]) == 20_000
+    assert got[2]["hit_runs"] == [(0, 50)]
+
+
+def test_all_known_licence_texts_are_found_whole_and_inside(spark):
+    known = licences.whole_texts()
+    assert len(known) >= 15
+    texts = [(i, own[0]) for i, own in enumerate(known.values())]
+    texts += [(100 + i, f"Some words.\n\n{own[-1].upper()}\nMore words here.")
+              for i, own in enumerate(known.values())]
+    got = rows(licences.license_scan(frame(spark, texts), licences.known_licences(spark)))
+    for i, name in enumerate(known):
+        assert got[i]["license"] == name, name
+        assert got[100 + i]["n_notices"] >= 1, name
