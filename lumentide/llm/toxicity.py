@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,16 +23,36 @@ STEMS = (3, 4, 5, 6, 7)
 REMEMBERED, _ENTRY = 120 << 20, 150
 
 
+#: Scripts written without spaces: South-East Asian ones, Han and kana.
+_UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
+_RUNS = re.compile(f"({_UNSPACED}+)")
+_BEYOND = re.compile(rb"[\xe0-\xff]")
+
+
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(_LETTERS).split()
+    """Runs of letters; in scripts without spaces every character with the one after it."""
+    words = text.translate(_LETTERS).split()
+    if not _BEYOND.search(text):
+        return words
+    found: list[bytes] = []
+    for word in words:
+        if not _BEYOND.search(word):
+            found.append(word)
+            continue
+        for i, run in enumerate(_RUNS.split(word.decode(errors="replace"))):
+            if i % 2:
+                found += [run[k:k + 2].encode() for k in range(len(run))]
+            elif run:
+                found.append(run.encode())
+    return found
 
 
 def stems_of(word: bytes) -> list[bytes]:
-    """The word and its beginnings (marked with *), counted in characters."""
+    """The word and its beginnings (marked with *), counted in characters, longest first."""
     found = [word]
     if len(word) > STEMS[0]:
         chars = word.decode(errors="replace")
-        found += [chars[:k].encode() + b"*" for k in STEMS if k < len(chars)]
+        found += [chars[:k].encode() + b"*" for k in reversed(STEMS) if k < len(chars)]
     return found
 
 
@@ -39,26 +60,25 @@ def stems_of(word: bytes) -> list[bytes]:
 class Model:
     """What scoring needs; all of it is learned from a bounded sample."""
 
-    log_odds: dict[bytes, float]
-    background: float  # score of a word without a listed token, below zero
+    log_odds: dict[bytes, float]  # of tokens, where not those of their beginnings
+    cut: float         # taken off each word's log-odds
     decay: float       # lambda of the extreme-value distribution
     scale: float       # K
     weights: tuple[float, float]  # of the logistic calibration
 
 
 class Scorer:
-    """Word scores, remembered for the frequent words."""
+    """Log-odds of words, remembered for the frequent ones."""
 
-    def __init__(self, log_odds: dict[bytes, float], background: float):
-        self.log_odds, self.background = log_odds, background
+    def __init__(self, log_odds: dict[bytes, float]):
+        self.log_odds = log_odds
         self.known: dict[bytes, float] = {}
         self.held = 0
 
     def score(self, word: bytes) -> float:
         found = self.known.get(word)
         if found is None:
-            found = max((self.log_odds[s] for s in stems_of(word) if s in self.log_odds),
-                        default=self.background)
+            found = next((self.log_odds[s] for s in stems_of(word) if s in self.log_odds), 0.0)
             if self.held < REMEMBERED:
                 self.known[word] = found
                 self.held += _ENTRY + len(word)
@@ -143,142 +163,164 @@ def training_sample(
 
 
 def _token_counts(sample: DataFrame) -> DataFrame:
-    """Occurrences in either class and documents of the toxic one, by token; added up map-side."""
-    schema = "token binary, clean long, toxic long, toxic_docs long"
+    """Documents of either class that hold a token; added up map-side.
+
+    A token counts once in a document: one that a single text repeats is not more frequent
+    in its class for that.
+    """
+    schema = "token binary, clean long, toxic long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter, Counter] = (Counter(), Counter(), Counter())
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
 
         def flush() -> pa.RecordBatch:
             tokens = list({**counts[0], **counts[1]})
             made = pa.RecordBatch.from_arrays(
                 [pa.array(tokens, pa.binary()),
                  *(pa.array([c[t] for t in tokens], pa.int64()) for c in counts)],
-                names=["token", "clean", "toxic", "toxic_docs"])
+                names=["token", "clean", "toxic"])
             for c in counts:
                 c.clear()
             return made
 
         for batch in batches:
             for text, label in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
-                own = Counter()
-                for word, n in Counter(words_of(text)).items():
-                    for stem in stems_of(word):
-                        own[stem] += n
-                counts[label].update(own)
-                if label:
-                    counts[2].update(own.keys())
+                counts[label].update({s for word in set(words_of(text)) for s in stems_of(word)})
                 if len(counts[0]) + len(counts[1]) > 500_000:
                     yield flush()
         yield flush()
 
     return (
         sample.select("_text", "_label").mapInArrow(run, schema).groupBy("token")
-        .agg(*[F.sum(c).alias(c) for c in ("clean", "toxic", "toxic_docs")]))
+        .agg(*[F.sum(c).alias(c) for c in ("clean", "toxic")]))
+
+
+def token_log_odds(counted: DataFrame, prior: float, same: float) -> DataFrame:
+    """`token` and `d`, its log-odds, without those that differ from their beginning's by up to `same`.
+
+    The share of toxic ones among a token's documents has a Dirichlet prior of `prior`
+    documents with the share found for its beginning, next shorter, in documents that do not
+    hold the token itself: each counts once on the way from the shortest beginning to the
+    word. Log-odds are against the share of toxic ones among all words; rare tokens keep
+    close to their beginnings, and those to zero. With one class only there are none.
+    """
+    n0, n1 = counted.filter(~F.col("token").endswith(F.lit(b"*"))).agg(
+        F.sum("clean"), F.sum("toxic")).first()
+    if not n0 or not n1:
+        return counted.limit(0).select("token", F.lit(0.0).alias("d"))
+    text = F.col("token").cast("string")
+    body = F.when(text.endswith("*"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    begins = F.transform(
+        F.filter(F.array(*map(F.lit, STEMS)), lambda k: k < F.length(body)),
+        lambda k: F.concat(F.substring(body, F.lit(1), k), F.lit("*")).cast("binary"))
+    own = F.struct(F.lit(99).alias("size"), "clean", "toxic")
+    above = counted.select("token", own.alias("own"), F.explode_outer(begins).alias("_begin"))
+    met = above.join(
+        counted.select(F.col("token").alias("_begin"), F.struct(
+            F.length("token").alias("size"), "clean", "toxic").alias("begin")), "_begin", "left")
+    chain = met.groupBy("token").agg(
+        F.sort_array(F.collect_list("begin")).alias("begins"), F.first("own").alias("own"))
+
+    def share(way: Column) -> Column:
+        """From the outermost inwards, each without the documents of the next."""
+        rings = F.transform(way, lambda x, i: F.struct(
+            *[(x[c] - F.coalesce(F.get(way, i + 1)[c], F.lit(0))).alias(c) for c in ("clean", "toxic")]))
+        return F.aggregate(rings, F.lit(n1 / (n0 + n1)), lambda q, x: (
+            (x["toxic"] + prior * q) / (x["clean"] + x["toxic"] + prior)))
+
+    def log_odds(way: Column) -> Column:
+        q = share(way)
+        return F.log(q / (1 - q)) - math.log(n1 / n0)
+
+    return chain.select(
+        "token", log_odds(F.array_append("begins", F.col("own"))).alias("d"),
+        log_odds(F.col("begins")).alias("_begin")
+    ).filter(F.abs(F.col("d") - F.col("_begin")) > same).select("token", "d")
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, per_class: int = 20_000, id_col: str = "doc_id",
-    text_col: str = "text", label_col: str = "toxic", prior: float = 100.0, z_least: float = 3.3,
-    odds_least: float = 20.0, docs_least: int = 5, most: float = 0.05,
+    text_col: str = "text", label_col: str = "toxic", prior: float = 2.0, same: float = 0.25,
+    cuts: Sequence[float] = (0.25, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0), most: float = 0.05,
 ) -> Model:
     """Learn the model from at most about `per_class` labelled documents of either class.
 
-    Folds 1 to 3 give the tokens' log-odds with an informative Dirichlet prior (Monroe et
-    al., "Fightin' words"), of which those `z_least` deviations above zero, at odds of
-    `odds_least` or more and in `docs_least` toxic documents are listed: lesser odds, as
-    between subjects or languages, would only add up over a long text. Fold 4 gives the extreme-value parameters, from
-    its clean texts, and the calibration. Fold 0 is held out. With one class only, or no
-    labels, every text gets that class's share as its score.
+    Folds 1 to 3 give every token its log-odds with a Dirichlet prior (Monroe et al.,
+    "Fightin' words"), that of rare words from their beginnings; a word not seen has those of
+    its longest beginning seen. Fold 4 gives the rest. Lesser odds, as between subjects or languages, would add up over a long
+    text, so each word costs a cut, the one of `cuts` under which the calibrated scores of
+    fold 4 have the greatest likelihood. Its clean texts give the extreme-value parameters.
+    Fold 0 is held out. With one class only, or no labels, every text gets that class's
+    share as its score.
     """
     # Stored: the documents are read once for the sample, whatever is learned from it.
     sample = written(
         training_sample(docs, labels, per_class, id_col, text_col, label_col), "sample")
-    counted = _token_counts(sample.filter("_fold < 4"))
-    sums = counted.filter(~F.col("token").endswith(F.lit(b"*"))).agg(
-        F.sum("clean"), F.sum("toxic")).first()
-    n0, n1 = (float(x or 0) for x in sums)
-    log_odds: dict[bytes, float] = {}
-    if n0 and n1:
-        # Half an occurrence for each token, and `prior` dealt out as in the whole sample.
-        alpha = 0.5 + F.lit(prior) * (F.col("clean") + F.col("toxic")) / F.lit(n0 + n1)
-        odds = lambda y, n: F.log((y + alpha) / F.greatest(
-            F.lit(n + prior) - y - alpha, F.lit(1e-9)))
-        delta = odds(F.col("toxic"), n1) - odds(F.col("clean"), n0)
-        spread = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha))
-        log_odds = {bytes(r[0]): r[1] for r in (
-            counted.filter(F.col("toxic_docs") >= docs_least)
-            .select("token", delta.alias("d"), (delta / spread).alias("z"))
-            .filter(F.col("z") >= z_least).filter(
-                F.col("d") >= math.log(odds_least)).select("token", "d").collect())}
-    # What the listed tokens leave to all other words, in toxic and in clean texts.
-    listed = _listed_shares(sample.filter("_fold < 4"), log_odds)
-    background = min(-1e-3, math.log((1 - listed[1]) / (1 - listed[0])))
-    scored = _calibration_rows(sample.filter("_fold = 4"), log_odds, background)
-    clean = [r for r in scored if r[0] == 0]
-    decay = _decay(log_odds, background, scored)
-    best = [(max(r[1], 1), max((s for *_, s in r[2]), default=0.0)) for r in clean]
-    scale = (len(best) + 1) / (sum(n * math.exp(-decay * s) for n, s in best) + 1)
-    labels_, evidence = [], []
-    for label, n, found, _ in scored:
-        labels_.append(label)
-        evidence.append(excess(found, n, decay, scale, most)[0])
-    return Model(log_odds, background, decay, scale, _logistic(np.array(evidence), np.array(labels_)))
-
-
-def _listed_shares(sample: DataFrame, log_odds: dict[bytes, float]) -> tuple[float, float]:
-    """Share of the words with a listed token in clean and in toxic texts."""
+    counted = written(_token_counts(sample.filter("_fold < 4")), "tokens")
+    log_odds = {bytes(r[0]): r[1] for r in token_log_odds(counted, prior, same).collect()}
+    calibration = sample.filter("_fold = 4")
+    values, counts = _clean_scores(calibration, log_odds)
+    best = _per_text(
+        calibration, log_odds, lambda n, found, _: max((s for *_, s in found), default=0.0), cuts)
+    fits = []
+    for i, cut in enumerate(cuts):
+        decay = _decay(values - cut, counts)
+        clean = [(max(n, 1), own[i]) for label, n, own in best if label == 0]
+        scale = (len(clean) + 1) / (sum(n * math.exp(-decay * s) for n, s in clean) + 1)
+        fits.append((decay, scale))
+    evidence = _per_text(
+        calibration, log_odds, lambda n, found, i: excess(found, n, *fits[i], most)[0], cuts)
+    y = np.array([label for label, *_ in evidence])
+    models = []
+    for i, cut in enumerate(cuts):
+        x = np.array([own[i] for *_, own in evidence])
+        weights = _logistic(x, y)
+        models.append((_loss(x, y, weights), -cut, Model(log_odds, cut, *fits[i], weights)))
+    return min(models, key=lambda m: m[:2])[2]
+
+
+def _clean_scores(sample: DataFrame, log_odds: dict[bytes, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of the words of clean texts, in thousandths, and how many words have them."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(log_odds, -1.0)
+        scorer, found = Scorer(log_odds), Counter()
         for batch in batches:
-            rows = [(label, *_listed(scorer, words_of(t)))
-                    for t, label in zip(utf8(batch.column(0)), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 3,
-                names=["label", "n", "hit"])
-
-    sums = {r[0]: (r[1], r[2]) for r in (
-        sample.select("_text", "_label").mapInArrow(run, "label long, n long, hit long")
-        .groupBy("label").agg(F.sum("n"), F.sum("hit")).collect())}
-    share = lambda k: (sums[k][1] + 0.5) / (sums[k][0] + 1) if k in sums else 0.5
-    return share(0), share(1)
+            for text in utf8(batch.column(0)):
+                found.update(np.rint(1000 * scorer.scores(words_of(text))).astype(int).tolist())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())],
+            names=["value", "n"])
 
+    rows = sorted(tuple(r) for r in (
+        sample.filter("_label = 0").select("_text").mapInArrow(run, "value long, n long")
+        .groupBy("value").agg(F.sum("n").alias("n")).collect()))
+    return np.array([r[0] for r in rows]) / 1000, np.array([r[1] for r in rows])
 
-def _listed(scorer: Scorer, words: list[bytes]) -> tuple[int, int]:
-    return len(words), int((scorer.scores(words) > 0).sum())
 
-
-def _calibration_rows(sample: DataFrame, log_odds: dict[bytes, float], background: float) -> list:
-    """Label, words, segments and listed words of each text of the (bounded) calibration fold."""
+def _per_text(sample: DataFrame, log_odds: dict[bytes, float], measure, cuts: Sequence[float]) -> list:
+    """Label, words and `measure` under each cut of each text of the (bounded) sample, in order."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(log_odds, background)
+        scorer = Scorer(log_odds)
         for batch in batches:
-            labels, sizes, found, hits = [], [], [], []
-            for text, label in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
+            sizes, values = [], []
+            for text in utf8(batch.column(0)):
                 scores = scorer.scores(words_of(text))
-                labels.append(label)
                 sizes.append(len(scores))
-                found.append([s for *_, s in segments(scores)])
-                hits.append(scores[scores > 0].tolist())
+                values.append([
+                    measure(len(scores), segments(scores - c), i) for i, c in enumerate(cuts)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.int32()), pa.array(sizes, pa.int64()),
-                 pa.array(found, pa.list_(pa.float64())), pa.array(hits, pa.list_(pa.float64()))],
-                names=["label", "n", "found", "hits"])
+                [batch.column(1), pa.array(sizes, pa.int64()),
+                 pa.array(values, pa.list_(pa.float64()))], names=["label", "n", "own"])
 
-    rows = sample.select("_text", "_label").mapInArrow(
-        run, "label int, n long, found array<double>, hits array<double>").collect()
-    return sorted(
-        (r.label, r.n, [(0, 0, s) for s in r.found], list(r.hits)) for r in rows)
+    return sorted(tuple(r) for r in sample.select("_text", "_label").mapInArrow(
+        run, "label int, n long, own array<double>").collect())
 
 
-def _decay(log_odds: dict[bytes, float], background: float, scored: list) -> float:
+def _decay(scores: np.ndarray, counts: np.ndarray) -> float:
     """The positive root of the mean of exp(lambda score) over clean words being one."""
-    clean = [(n, hits) for label, n, _, hits in scored if label == 0]
-    hits = np.array([h for _, own in clean for h in own])
-    words = sum(n for n, _ in clean)
-    if not len(hits) or words <= len(hits) or hits.sum() + (words - len(hits)) * background >= 0:
+    if not len(scores) or scores.max() <= 0 or (scores * counts).sum() >= 0:
         return 1.0  # what true log-odds have
-    mean = lambda x: (np.exp(x * hits).sum() + (words - len(hits)) * math.exp(x * background)) / words
+    words = counts.sum()
+    mean = lambda x: (np.exp(np.minimum(x * scores, 700)) * counts).sum() / words
     low, high = 1e-6, 1.0
     while mean(high) < 1 and high < 64:
         high *= 2
@@ -288,6 +330,14 @@ def _decay(log_odds: dict[bytes, float], background: float, scored: list) -> flo
     return high
 
 
+def _loss(x: np.ndarray, y: np.ndarray, weights: tuple[float, float]) -> float:
+    """Mean negative log-likelihood of the labels under calibrated scores."""
+    if not len(y):
+        return 0.0
+    z = np.clip(weights[0] + weights[1] * np.clip(x, -50, 50), -30, 30)
+    return float(np.mean(np.log1p(np.exp(z)) - y * z))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
     """Intercept and slope by Newton's method; the slope is held at or above zero."""
     if not len(y) or y.min() == y.max():
@@ -329,11 +379,11 @@ def toxicity(
     def compute(texts: pa.Array) -> list[pa.Array]:
         fitted = sent.value
         if not scorers:
-            scorers.append(Scorer(fitted.log_odds, fitted.background))
+            scorers.append(Scorer(fitted.log_odds))
         scores, passages = [], []
         for text in utf8(texts):
             words = words_of(text)
-            found = segments(scorers[0].scores(words))
+            found = segments(scorers[0].scores(words) - fitted.cut)
             x, chosen = excess(found, len(words), fitted.decay, fitted.scale, most)
             a, b = fitted.weights
             scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * max(-50.0, min(50.0, x)))))))

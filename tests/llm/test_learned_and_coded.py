@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import zlib
 
@@ -132,6 +133,69 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.toxicity(docs.limit(0), model).count() == 0
 
 
+def test_log_odds_of_tokens_come_from_nested_beginnings(spark):
+    counts = {b"abc*": (40, 10), b"abcd*": (10, 9), b"abcde": (4, 8), b"abcdx": (6, 1),
+              b"abq": (3, 3), b"xyz": (43, 0), b"abcz": (30, 1)}
+    counted = spark.createDataFrame(
+        [(bytearray(t), *n) for t, n in counts.items()], "token binary, clean long, toxic long")
+    prior = 2.0
+    words = [n for t, n in counts.items() if not t.endswith(b"*")]
+    n0, n1 = (sum(n[i] for n in words) for i in (0, 1))
+
+    def share(*rings):
+        q = n1 / (n0 + n1)
+        for clean, toxic in rings:
+            q = (toxic + prior * q) / (clean + toxic + prior)
+        return math.log(q / (1 - q)) - math.log(n1 / n0)
+    expected = {
+        b"abc*": share((40, 10)), b"abcd*": share((30, 1), (10, 9)),
+        b"abcde": share((30, 1), (6, 1), (4, 8)), b"abcdx": share((30, 1), (4, 8), (6, 1)),
+        b"abq": share((3, 3)), b"xyz": share((43, 0)), b"abcz": share((10, 9), (30, 1))}
+    got = {bytes(r["token"]): r["d"] for r in toxicity.token_log_odds(counted, prior, 0.0).collect()}
+    assert got == pytest.approx(expected, rel=1e-12)
+    begins = {b"abcd*": share((40, 10)), b"abcz": share((40, 10)), b"abcde": expected[b"abcd*"],
+              b"abcdx": expected[b"abcd*"]}
+    few = toxicity.token_log_odds(counted, prior, 0.25).collect()
+    assert {bytes(r["token"]) for r in few} == {
+        t for t, d in expected.items() if abs(d - begins.get(t, 0.0)) > 0.25}
+    scorer = toxicity.Scorer({b"abc*": 1.0, b"abcde": 2.0})
+    assert [scorer.score(w) for w in (b"abcde", b"abcdef", b"abc", b"zz")] == [2.0, 1.0, 0.0, 0.0]
+
+
+def test_mild_words_add_up_to_a_passage_but_not_over_a_long_text(spark):
+    """No word is decisive; six of the mild ones in a row are."""
+    random.seed(4)
+    names = ["".join(x) for x in itertools.product("bdgklmnprst", "aeiou", "bdgklmnprst")]
+    random.shuffle(names)
+    plain, mild = names[:200], names[200:240]
+    texts, labels = [], []
+    for i in range(900):
+        toxic, own = i % 3 == 0, random.choices(plain, k=80)
+        if toxic:
+            own[30:38] = random.choices(mild, k=8)
+        else:
+            for at in range(0, 80, 27):  # the same words, but apart
+                own[at] = random.choice(mild)
+        texts.append((i, " ".join(own)))
+        labels.append((i, int(toxic)))
+    docs = frame(spark, texts)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    scorer = toxicity.Scorer(model.log_odds)
+    scores = [scorer.score(w.encode()) for w in mild]
+    assert sum(s > 0 for s in scores) > 30 and max(scores) < math.log(20)
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, model).collect()}
+    held = [i for i in got if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(got[i]["predicted"] == (i % 3 == 0) for i in held) >= 0.95 * len(held)
+    found = max(got[3]["passages"], key=lambda p: p["score"])
+    assert 28 <= found["begin"] <= 32 and 36 <= found["end"] <= 40
+
+
+def test_words_of_scripts_without_spaces():
+    assert toxicity.words_of("Ein Café".encode()) == ["ein".encode(), "café".encode()]
+    assert [w.decode() for w in toxicity.words_of("abc日本語x — ไทย".encode())] == [
+        "abc", "日本", "本語", "語", "x", "—", "ไท", "ทย", "ย"]
+
+
 def test_toxicity_without_labels_or_with_one_class(spark):
     docs = frame(spark, ODD)
     none = spark.createDataFrame([], "doc_id long, toxic int")
@@ -342,4 +406,5 @@ def test_the_model_does_not_depend_on_the_order_of_rows(spark, sf_dir):
               for n in (3, 7)]
     assert models[0].log_odds.keys() == models[1].log_odds.keys()
     assert models[0].weights == pytest.approx(models[1].weights, rel=1e-9)
-    assert models[0].background == pytest.approx(models[1].background, rel=1e-12)
+    assert models[0].cut == models[1].cut
+    assert models[0].decay == pytest.approx(models[1].decay, rel=1e-12)
