@@ -257,7 +257,9 @@ def fit(
     sample = written(
         training_sample(docs, labels, per_class, id_col, text_col, label_col), "sample")
     counted = written(_token_counts(sample.filter("_fold < 4")), "tokens")
-    log_odds = {bytes(r[0]): r[1] for r in token_log_odds(counted, prior, same).collect()}
+    # As two columns: rows of objects would take the driver several times the memory.
+    listed = token_log_odds(counted, prior, same).orderBy("token").toArrow()
+    log_odds = dict(zip(*(listed[c].to_pylist() for c in ("token", "d"))))
     calibration = sample.filter("_fold = 4")
     values, counts = _clean_scores(calibration, log_odds)
     best = _per_text(
