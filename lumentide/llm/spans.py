@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lumentide.llm.common import (
     cut_batches, on_own_columns, utf8, with_arrow_columns, written,
@@ -78,22 +79,27 @@ def _unspaced_units(sentence: bytes, most_words: int) -> list[bytes]:
 
 
 def span_digests(
-    parts: list[bytes], span: int, least_words: int, least_bytes: int = 64,
-) -> list[tuple[int, bytes]]:
-    """Place and digest of every run of `span` units with enough words or bytes.
+    text: bytes, most_words: int, span: int, least_words: int, least_bytes: int = 64,
+) -> tuple[list[int], list[bytes]]:
+    """Places and digests of the runs of `span` units with enough words or bytes.
 
     Units without a word are passed over: they are no sentences. Fewer units are one run.
     """
-    held = [(i, p.lower().split()) for i, p in enumerate(parts)]
-    held = [(i, w) for i, w in held if w]
-    made = []
-    for k in range(max(1, len(held) - span + 1) if held else 0):
-        run = held[k:k + span]
-        if sum(len(w) for _, w in run) >= least_words or (
-                sum(len(x) for _, w in run for x in w) >= least_bytes):
-            made.append((k, xxhash.xxh3_128_digest(
-                b"\n".join(b" ".join(w) for _, w in run))))
-    return made
+    held = [w for p in units(text.lower(), most_words) if (w := p.split())]
+    if not held:
+        return [], []
+    lines = [b" ".join(w) for w in held]
+    ends = np.cumsum([len(line) + 1 for line in lines])
+    last = np.minimum(np.arange(max(1, len(held) - span + 1)) + span, len(held)) - 1
+    starts = np.concatenate([[0], ends])[:len(last)]
+    at = np.arange(len(last))
+    if least_words > 0 and least_bytes > 0:
+        words = np.concatenate([[0], np.cumsum([len(w) for w in held])])
+        chars = np.concatenate([[0], np.cumsum([sum(map(len, w)) for w in held])])
+        at = at[(words[last + 1] - words[at] >= least_words) | (chars[last + 1] - chars[at] >= least_bytes)]
+    flat = b"\n".join(lines)
+    return at.tolist(), [xxhash.xxh3_128_digest(flat[a:b]) for a, b in zip(
+        starts[at].tolist(), (ends[last[at]] - 1).tolist())]
 
 
 def tokens(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -157,8 +163,8 @@ def anchors(text: bytes, passage: int) -> tuple[np.ndarray, np.ndarray]:
     return at, found[at]
 
 
-def passage_digests(text: bytes, passage: int, near: np.ndarray) -> list[tuple[int, bytes]]:
-    """Place and digest of every stretch of `passage` tokens that holds one of the anchors `near`."""
+def passage_digests(text: bytes, passage: int, near: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Places and digests of the stretches of `passage` tokens that hold one of the anchors `near`."""
     flat, starts, ends = tokens(text)
     most = len(starts) - passage + 1
     back = passage - passage // 2
@@ -166,8 +172,59 @@ def passage_digests(text: bytes, passage: int, near: np.ndarray) -> list[tuple[i
     np.add.at(edges, np.maximum(near - back, 0), 1)
     np.add.at(edges, near + 1, -1)
     at = np.flatnonzero(np.cumsum(edges)[:max(most, 0)] > 0)
-    return [(k, xxhash.xxh3_128_digest(flat[a:b])) for k, a, b in zip(
-        at.tolist(), starts[at].tolist(), ends[at + passage - 1].tolist())]
+    return at.tolist(), [xxhash.xxh3_128_digest(flat[a:b]) for a, b in zip(
+        starts[at].tolist(), ends[at + passage - 1].tolist())]
+
+
+#: Types of ids whose order here is Spark's.
+_ORDERED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+
+
+def _ranks(docs: pa.Array, tags: pa.Array) -> np.ndarray:
+    """Ranks of a batch's documents by id and tag, NULL first; rows of one document have one."""
+    order = pc.sort_indices(
+        pa.table([docs, tags], names=["doc", "tag"]), null_placement="at_start",
+        sort_keys=[("doc", "ascending"), ("tag", "ascending")]).to_numpy()
+    doc = docs.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)[order]
+    tag = tags.to_numpy(zero_copy_only=False)[order]
+    ranks = np.zeros(len(order), np.int64)
+    ranks[order[1:]] = np.cumsum((doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]))
+    return ranks
+
+
+def _settled(
+    row: np.ndarray, at: np.ndarray, high: np.ndarray, low: np.ndarray, anchor: np.ndarray,
+    ranks: np.ndarray, across: bool,
+) -> tuple[np.ndarray, np.ndarray]:
+    """What a batch tells by itself: which places others have to hear of, and which are settled.
+
+    Of the places of one digest the first is sent on. All later ones are known to be repeated,
+    and of an anchor's the first, too. Without `across` only places of one document are compared.
+    """
+    order = np.argsort(high)
+    same = high[order[1:]] == high[order[:-1]]
+    twice = np.zeros(len(order), bool)
+    twice[1:] |= same
+    twice[:-1] |= same
+    some = order[twice]
+    sent = np.ones(len(order), bool)
+    if not len(some):
+        return np.flatnonzero(sent), some
+    doc = ranks[row[some]]
+    keys = [at[some], doc, low[some], anchor[some], high[some]]
+    if not across:
+        keys.insert(2, doc)
+        keys[1] = row[some]
+    sort = np.lexsort(keys)
+    some, keys = some[sort], [k[sort] for k in keys]
+    new = np.ones(len(some), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys[2:]], axis=0)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(some)), 0))
+    later = (ranks[row[some]] != ranks[row[some[head]]]) | (at[some] != at[some[head]])
+    sent[some[~new]] = False
+    group = np.cumsum(new) - 1
+    near = anchor[some] & (np.bincount(group, later)[group] > 0)
+    return np.flatnonzero(sent), some[later | near]
 
 
 def sentence_span_dedup(
@@ -194,9 +251,10 @@ def sentence_span_dedup(
     each stretch, chosen by its content alone, is looked up first; only stretches around a
     window found twice are hashed one by one, so that the result is that of hashing all.
 
-    Only digests move: the first place of each is found by partial aggregation and stored;
-    the equi-join back is split where a passage is in very many documents. The texts move
-    once, to meet the runs they lose; with `passage` those with repeated windows once more.
+    Only digests move, once: of those found several times in a batch of texts one goes on, so
+    that a passage in very many documents is one row for each batch. The first place of each
+    tells which are later. The texts move once, to meet the runs they lose; with `passage`
+    those with repeated windows once more.
 
     NULL and empty texts have no sentences; their kept text is empty. A text with fewer
     sentences than `span` is one run. Rows of one id and text are one document; rows of one
@@ -217,64 +275,97 @@ def _without_spans(
     source = docs.select(
         F.col(id_col).alias("_doc"), F.coalesce(text_col, F.lit("")).alias("_text")
     ).withColumn("_tag", F.xxhash64("_text"))
+    kind = source.schema["_doc"].dataType
+    across = isinstance(kind, _ORDERED) or kind == T.StringType()
     schema = T.StructType([
         source.schema["_doc"], T.StructField("_tag", T.LongType()),
-        T.StructField("_at", T.IntegerType()), T.StructField("_digest", T.BinaryType())])
-
-    def emitted(batch: pa.RecordBatch, found: list[list[tuple[int, bytes]]]) -> pa.RecordBatch:
-        at = pa.array(np.repeat(np.arange(len(found)), [len(own) for own in found]))
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(2).take(at),
-             pa.array([place for own in found for place, _ in own], pa.int32()),
-             pa.array([digest for own in found for _, digest in own], pa.binary())],
-            names=schema.names)
+        T.StructField("_at", T.IntegerType()), T.StructField("_more", T.ArrayType(T.IntegerType())),
+        T.StructField("_high", T.LongType()), T.StructField("_low", T.LongType())])
+
+    def emitted(
+        batch: pa.RecordBatch, runs: list[tuple[list[int], list[bytes]]],
+        marks: list[tuple[np.ndarray, np.ndarray]],
+    ) -> Iterator[pa.RecordBatch]:
+        """Places to look up, by digest, and those of each document known to be repeated.
+
+        An anchor has no lower half of a digest.
+        """
+        n = sum(len(at) for at, _ in runs)
+        halves = np.frombuffer(b"".join(d for _, own in runs for d in own), np.int64).reshape(n, 2)
+        rows = np.arange(batch.num_rows)
+        row = np.concatenate([np.repeat(rows, [len(at) for at, _ in runs]),
+                              np.repeat(rows[:len(marks)], [len(at) for at, _ in marks])])
+        at = np.concatenate([np.array([k for own, _ in runs for k in own], np.int64),
+                             *(own for own, _ in marks)]).astype(np.int32)
+        high = np.concatenate([halves[:, 0], *(h.view(np.int64) for _, h in marks)])
+        low = np.concatenate([halves[:, 1], np.zeros(len(at) - n, np.int64)])
+        anchor = np.arange(len(at)) >= n
+        docs, tags = batch.column(0), batch.column(2)
+        sent, known = _settled(
+            row, at, high, low, anchor, _ranks(docs, tags) if across else rows, across)
+        yield pa.RecordBatch.from_arrays(
+            [docs.take(pa.array(row[sent])), tags.take(pa.array(row[sent])), pa.array(at[sent]),
+             pa.nulls(len(sent), pa.list_(pa.int32())), pa.array(high[sent]),
+             pa.array(low[sent], mask=anchor[sent])], names=schema.names)
+        if len(known):
+            known = known[np.lexsort([row[known], anchor[known]])]
+            new = np.ones(len(known), bool)
+            new[1:] = (row[known[1:]] != row[known[:-1]]) | (anchor[known[1:]] != anchor[known[:-1]])
+            heads = np.flatnonzero(new)
+            own = known[heads]
+            yield pa.RecordBatch.from_arrays(
+                [docs.take(pa.array(row[own])), tags.take(pa.array(row[own])),
+                 pa.nulls(len(own), pa.int32()),
+                 pa.ListArray.from_arrays(
+                     pa.array(np.append(heads, len(known)), pa.int32()), pa.array(at[known])),
+                 pa.nulls(len(own), pa.int64()),
+                 pa.array(np.zeros(len(own), np.int64), mask=anchor[own])], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut_batches(batches, 1):
-            found = []
-            for text in utf8(batch.column(1)):
-                own = span_digests(units(text, most_words), span, least_words, least_bytes)
-                if passage is not None:  # their digests have 8 bytes, those of runs 16
-                    at, hashes = anchors(text, passage)
-                    raw = hashes.tobytes()
-                    own += [(k, raw[8 * i:8 * i + 8]) for i, k in enumerate(at.tolist())]
-                found.append(own)
-            yield emitted(batch, found)
+            texts = utf8(batch.column(1))
+            yield from emitted(
+                batch, [span_digests(t, most_words, span, least_words, least_bytes) for t in texts],
+                [anchors(t, passage) for t in texts] if passage is not None else [])
 
     def run_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut_batches(batches, 1, 1 << 20):
-            yield emitted(batch, [
+            yield from emitted(batch, [
                 passage_digests(text, passage, np.array(near, np.int64)) for text, near in zip(
-                    utf8(batch.column(1)), batch.column(3).to_pylist())])
+                    utf8(batch.column(1)), batch.column(3).to_pylist())], [])
+
+    place, anchor = F.struct("_doc", "_tag", "_at"), F.col("_low").isNull()
 
-    place = F.struct("_doc", "_tag", "_at")
+    def repeated(places: DataFrame) -> DataFrame:
+        """Places of runs found earlier already, and of anchors found twice."""
+        # Lists of places have no digest; they are dealt by document, to meet nothing.
+        found = places.withColumn("_high", F.coalesce("_high", F.xxhash64("_doc", "_tag")))
+        alike = Window.partitionBy("_high", "_low")
+        return found.withColumns({
+            "_first": F.min(place).over(alike), "_n": F.count("*").over(alike)}).filter(
+                F.col("_more").isNotNull() | F.when(anchor, F.col("_n") > 1).otherwise(
+                    ~place.eqNullSafe(F.col("_first"))))
 
-    def repeated(runs: DataFrame) -> DataFrame:
-        # Stored before it meets the runs: its shuffle files go before the next are made, and
-        # AQE can split the runs of a passage that very many documents share.
-        again = written(
-            runs.groupBy("_digest").agg(F.min(place).alias("_first"), F.count("*").alias("_n"))
-            .filter("_n > 1").drop("_n"), "repeated")
-        return runs.join(again, "_digest")
+    def listed(which: Column) -> Column:
+        """The places of the rows told, one by one and in lists."""
+        return F.concat(F.collect_list(F.when(which, F.col("_at"))),
+                        F.flatten(F.collect_list(F.when(which, F.col("_more")))))
 
-    later = ~place.eqNullSafe(F.col("_first"))
     runs = repeated(source.select("_doc", "_text", "_tag").mapInArrow(run, schema))
     if passage is None:
-        lost = runs.filter(later).groupBy("_doc", "_tag").agg(F.collect_set("_at").alias("_lost"))
+        lost = runs.groupBy("_doc", "_tag").agg(listed(~anchor).alias("_lost"))
         own = ["_lost"]
     else:
-        anchor = F.octet_length("_digest") == 8
-        marks = written(
-            runs.filter(anchor | later).groupBy("_doc", "_tag").agg(
-                F.collect_set(F.when(~anchor, F.col("_at"))).alias("_lost"),
-                F.collect_set(F.when(anchor, F.col("_at"))).alias("_near")), "marks")
+        # Stored, here and below: the shuffle files of the digests go before others are made.
+        marks = written(runs.groupBy("_doc", "_tag").agg(
+            listed(~anchor).alias("_lost"), listed(anchor).alias("_near")), "marks")
         near = marks.filter(F.size("_near") > 0).select(
             F.col("_doc").alias("_near_doc"), F.col("_tag").alias("_near_tag"), "_near")
         passages = source.join(
             near, F.col("_doc").eqNullSafe(F.col("_near_doc")) & (F.col("_tag") == F.col("_near_tag"))
         ).select("_doc", "_text", "_tag", "_near").mapInArrow(run_passages, schema)
-        gone = repeated(written(passages, "passages")).filter(later).groupBy("_doc", "_tag").agg(
-            F.collect_set("_at").alias("_gone"))
+        gone = written(repeated(passages).groupBy("_doc", "_tag").agg(
+            listed(~anchor).alias("_gone")), "passages")
         lost = (
             marks.select("_doc", "_tag", "_lost", F.lit(None).cast("array<int>").alias("_gone"))
             .unionByName(gone.withColumn("_lost", F.lit(None).cast("array<int>")))

@@ -6,8 +6,9 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from lumentide.llm import decontaminate as decon, licences, quality, queries, spans, suffixes
 from lumentide.llm.lines import line_dedup
@@ -125,6 +126,53 @@ def test_registered_spans_query_equals_brute_force(spark, sf_dir):
     assert {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in got} == expected
 
 
+def test_spans_store_one_row_a_document(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    stored, written = [], spans.written
+
+    def kept(df, *args):
+        stored.append(written(df, *args))
+        return stored[-1]
+
+    monkeypatch.setattr(spans, "written", kept)
+    spans.sentence_span_dedup(docs, passage=48).collect()
+    assert stored and all(0 < t.count() <= docs.count() for t in stored)
+    assert not any(isinstance(f.dataType, T.BinaryType) for t in stored for f in t.schema)
+
+
+def test_a_batch_sends_on_one_place_of_a_digest():
+    row, at = np.array([0, 0, 1, 2, 2, 0]), np.array([4, 9, 0, 7, 7, 5], np.int32)
+    high, low = np.array([5, 5, 5, 5, 6, 5]), np.array([1, 1, 1, 1, 1, 0])
+    anchor = low == 0
+    for ranks, across, sent, known in (
+            ([1, 0, 2], True, [2, 4, 5], [0, 1, 3]), ([1, 0, 2], False, [0, 2, 3, 4, 5], [1]),
+            ([0, 0, 0], True, [2, 4, 5], [0, 1, 3])):
+        got = spans._settled(row, at, high, low, anchor, np.array(ranks), across)
+        assert (sorted(got[0].tolist()), sorted(got[1].tolist())) == (sent, known), (ranks, across)
+    # Of anchors the first is known to be repeated, too; rows of one document are no copies.
+    same, yes = np.zeros(3, np.int64), np.ones(3, bool)
+    got = spans._settled(np.arange(3), same, same, same, yes, np.array([0, 0, 1]), True)
+    assert len(got[0]) == 1 and sorted(got[1].tolist()) == [0, 1, 2]
+    got = spans._settled(np.arange(3), same, same, same, yes, same, True)
+    assert len(got[0]) == 1 and len(got[1]) == 0
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "double", "date", "array<int>"])
+def test_spans_of_ids_of_any_type(spark, kind):
+    draw = random.Random(9)
+    words = [" ".join(draw.choices([f"w{i}" for i in range(400)], k=60)) + "." for _ in range(6)]
+    texts = [(None if n == 3 else 10 + n, " ".join(words[k % 6] for k in range(n % 4, n % 4 + 3)))
+             for n in range(12)]
+    expected = brute_spans(sorted(texts, key=lambda t: (t[0] is not None, t[0])), 0, passage=48)
+    as_kind = {"date": "date_add(date'2024-01-01', cast(doc_id as int))", "array<int>":
+               "if(doc_id is null, null, array(cast(doc_id as int)))"}.get(kind, f"cast(doc_id as {kind})")
+    docs = frame(spark, texts * 2).repartition(3).selectExpr("doc_id", f"{as_kind} as id", "text")
+    got = spans.sentence_span_dedup(docs, id_col="id", passage=48).collect()
+    assert len(got) == 24
+    for r in got:
+        assert (r["n_removed"], hashlib.sha256(r["kept_text"].encode()).hexdigest()) == expected[r["doc_id"]]
+
+
 def test_passages_at_every_offset(spark):
     passage = " ".join(f"p{i}" for i in range(50))
     texts = [(0, f"Once. {passage} and on")] + [
