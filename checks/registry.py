@@ -422,13 +422,13 @@ def _(spark, sf_dir):
 
 @register("first_per_hour_stream", PAYLOAD, "views_top")
 def _(spark, sf_dir):
-    # The lists of some hours per file; an hour at a file's edge comes in two micro-batches.
+    # The lists of some hours per landing; an hour at its edge comes in two micro-batches.
     path, out = shared_dir(spark, "feed"), shared_dir(spark, "first")
     pages = inputs.pageviews(spark, sf_dir)
     at = F.floor((F.unix_timestamp("hour") - 1704067200) / 3600) + F.col("rank") % 2
     hours = pages.agg(F.max(at)).first()[0] + 1
     for part in range(3):
-        pages.filter(F.floor(at * 3 / hours) == part).coalesce(1).write.mode("append").json(path)
+        pages.filter(F.floor(at * 3 / hours) == part).write.mode("append").json(path)
         records = landed.read_wiki_pageviews(spark, path, stream=True)
         if part == 0:
             offsets = shared_dir(spark, "offsets")

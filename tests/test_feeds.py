@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from checks import inputs
+from checks import inputs, registry
 from lumentide.operators import envelope, normalise
 from lumentide.operators.selection import first_per_group
 from lumentide.session import shared_dir
@@ -99,6 +99,23 @@ def test_first_of_each_hour_over_batches_restarts_and_late_records(spark):
     assert articles(feeds.read_first_per_hour(spark, out, like, closed_only=False)) == everything
 
 
+def test_no_single_task_lands_the_lists(spark, sf_dir, tmp_path, monkeypatch):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages.repartition(4).write.parquet(f"{tmp_path}/pages.parquet")
+    folders, shared = {}, registry.shared_dir
+
+    def kept(spark, purpose):
+        folders[purpose] = shared(spark, purpose)
+        return folders[purpose]
+
+    monkeypatch.setattr(registry, "shared_dir", kept)
+    got = registry.QUERIES["first_per_hour_stream"](spark, str(tmp_path)).collect()
+    landings = {f.split("-")[2] for f in os.listdir(folders["feed"]) if f.startswith("part-")}
+    files = [f for f in os.listdir(folders["feed"]) if f.startswith("part-")]
+    assert len(files) > 2 * len(landings) > 0
+    assert sorted(got) == sorted(registry.QUERIES["first_per_hour_stream"](spark, sf_dir).collect())
+
+
 def test_state_is_bounded_by_open_hours(spark, sf_dir):
     path, out, offsets = (shared_dir(spark, p) for p in ("feed", "first", "offsets"))
     many = spark.range(5000).select(
