@@ -397,7 +397,7 @@ def _(spark, sf_dir):
     path, out, offsets, ids = (shared_dir(spark, p) for p in ("delivered", "out", "offsets", "ids"))
     events = inputs.redelivered_events(spark, sf_dir)
     for some in ("event_date > '2024-01-20'", "event_date <= '2024-01-20'", "event_id is not null"):
-        events.filter(some).coalesce(1).write.mode("append").parquet(path)
+        events.filter(some).write.mode("append").parquet(path)
         stream = spark.readStream.schema(events.schema).parquet(path)
         seen.start_exact_dedupe(stream, out, offsets, ids, fan_in=2, trigger=None).awaitTermination()
     return tables.read_table(spark, out, events)

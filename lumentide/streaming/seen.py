@@ -103,7 +103,11 @@ def start_exact_dedupe(
         if not seen.storage.exists(f"{done}/_complete"):
             seen.storage.remove(done)
             known = seen.known(batch, id_col, but=name)
-            first = dedupe_events(batch, [id_col], first_by)
+            # However large a landed file's row groups are, tasks get rows by measured bytes:
+            # by whole rows, so that an id delivered very often is in many tasks.
+            spread = batch.withColumn("_spread", F.xxhash64(*batch.columns)).hint(
+                "rebalance", F.col("_spread")).drop("_spread")
+            first = dedupe_events(spread, [id_col], first_by)
             first.join(known, F.col(id_col) == F.col("id"), "left_anti").write.parquet(done)
             seen.storage.write(f"{done}/_complete", "")
         fresh = spark.read.schema(batch.schema).parquet(done).select(*batch.columns)

@@ -80,3 +80,29 @@ def test_many_ids_are_joined(spark, monkeypatch):
     batch = spark.range(15, 40).withColumnRenamed("id", "event_id")
     assert sorted(r[0] for r in ids.known(batch, "event_id").collect()) == list(range(15, 20))
     assert ids.known(batch, "event_id", but="b").count() == 0
+
+
+def test_a_large_row_group_is_dealt_to_many_tasks(spark, monkeypatch):
+    path, out, offsets, ids = (shared_dir(spark, p) for p in ("in", "out", "offsets", "ids"))
+    rows = spark.range(60_000).selectExpr(
+        "case when id % 3 > 0 then sha2(cast(id div 6 as string), 256) end as event_id",
+        "timestamp_seconds(1704067200 + id) as ingested_at", "date'2024-01-01' as event_date")
+    rows.coalesce(1).write.parquet(path)
+    shares, dedupe = [], seen.dedupe_events
+
+    def watched(df, *args):
+        shares.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return dedupe(df, *args)
+
+    monkeypatch.setattr(seen, "dedupe_events", watched)
+    sizes = ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    for name in sizes:
+        spark.conf.set(name, "64kb")
+    try:
+        run(spark, path, out, offsets, ids)
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    assert sum(shares) == 60_000 and max(shares) < 30_000, shares
+    assert spark.read.parquet(out).count() == 20_000 + 10_000  # without an id, and distinct ids
