@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -16,7 +17,10 @@ from lumentide.llm.common import (
 )
 
 #: A sentence with the white space behind it: up to a stop before white space, or a line.
-_SENTENCE = re.compile(rb"[^\n]*?[.!?]+[)\]\"']*(?:\s+|\Z)|[^\n]*\n\s*|[^\n]+\Z")
+#: Nothing is tried twice: a stop that ends no sentence is passed for good.
+_SENTENCE = re.compile(
+    rb"[^\n.!?]*+(?:[.!?]++[)\]\"']*+(?!\s|\Z)[^\n.!?]*+)*+[.!?]++[)\]\"']*+(?:\s+|\Z)"
+    rb"|[^\n]*\n\s*|[^\n]+\Z")
 #: The same with the full stops of scripts that put no white space behind them.
 _STOPS = "。．！？｡។။።।॥؟۔"
 _ANY_STOP = re.compile("|".join(_STOPS).encode())
@@ -27,6 +31,7 @@ _WORD = re.compile(rb"\S+\s*")
 #: Longer than that in bytes without white space is no word, but text that puts none.
 _LONG = 64
 _UNSPACED = re.compile(rb"\S{%d,}" % (_LONG + 1))
+_SPACED = re.compile(rb"\s*+(?:\S{1,%d}+(?:\s++|\Z))*+\Z" % _LONG)
 
 #: Odd factor of the rolling hash, its inverse modulo 2^64, and a random value for each byte.
 _FACTOR = 0x9E3779B97F4A7C15
@@ -34,18 +39,23 @@ _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _BYTES = np.random.default_rng(3).integers(0, 1 << 64, 256, np.uint64)
 
 
+def _sentences(text: bytes) -> list[bytes]:
+    wide = not text.isascii() and _ANY_STOP.search(text)
+    return (_SENTENCE_WIDE if wide else _SENTENCE).findall(text)
+
+
 def units(text: bytes, most_words: int) -> list[bytes]:
     """The text cut into sentences, longer ones after every `most_words` words; they add up to it.
 
     Of text without white space, 4 * `most_words` characters stand for so many words.
     """
     found = []
-    wide = not text.isascii() and _ANY_STOP.search(text)
-    unspaced = _UNSPACED.search(text) is not None
-    for sentence in (_SENTENCE_WIDE if wide else _SENTENCE).findall(text):
+    unspaced = _SPACED.match(text) is None
+    for sentence in _sentences(text):
         if unspaced and _UNSPACED.search(sentence):
             found += _unspaced_units(sentence, most_words)
-        elif len(sentence) > 2 * most_words and len(words := _WORD.findall(sentence)) > most_words:
+        elif len(sentence) > 2 * most_words and len(sentence.split()) > most_words:
+            words = _WORD.findall(sentence)
             lead = sentence[:len(sentence) - sum(map(len, words))]
             parts = [b"".join(words[k:k + most_words]) for k in range(0, len(words), most_words)]
             parts[0] = lead + parts[0]
@@ -78,6 +88,20 @@ def _unspaced_units(sentence: bytes, most_words: int) -> list[bytes]:
     return [unit for unit in found if unit]
 
 
+def unit_words(text: bytes, most_words: int) -> list[list[bytes]]:
+    """The words of every unit that has any; the units themselves are not put together."""
+    if _SPACED.match(text) is None:
+        return [w for p in units(text, most_words) if (w := p.split())]
+    found = []
+    for sentence in _sentences(text):
+        words = sentence.split()
+        if len(words) > most_words:
+            found += [words[k:k + most_words] for k in range(0, len(words), most_words)]
+        elif words:
+            found.append(words)
+    return found
+
+
 def span_digests(
     text: bytes, most_words: int, span: int, least_words: int, least_bytes: int = 64,
 ) -> tuple[list[int], list[bytes]]:
@@ -85,7 +109,7 @@ def span_digests(
 
     Units without a word are passed over: they are no sentences. Fewer units are one run.
     """
-    held = [w for p in units(text.lower(), most_words) if (w := p.split())]
+    held = unit_words(text.lower(), most_words)
     if not held:
         return [], []
     lines = [b" ".join(w) for w in held]
@@ -111,7 +135,9 @@ def tokens(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
     if not flat:
         return flat, np.zeros(0, np.int64), np.zeros(0, np.int64)
     gaps = np.flatnonzero(np.frombuffer(flat, np.uint8) == 32)
-    starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(flat)]])
+    edges = np.empty(len(gaps) + 2, np.int64)
+    edges[0], edges[1:-1], edges[-1] = -1, gaps, len(flat)
+    starts, ends = edges[:-1] + 1, edges[1:]
     if (ends - starts).max() > _LONG:
         lead = (np.frombuffer(flat, np.uint8) & 0xC0) != 0x80
         cuts = []
@@ -127,18 +153,34 @@ def token_places(text: bytes, flat: bytes, tokens_at: np.ndarray) -> np.ndarray:
     """Where each of the tokens of `flat` begins in the text itself, and the end of the text."""
     raw = np.frombuffer(text, np.uint8)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    leads = ~space
+    leads[1:] &= space[:-1]
+    starts = np.flatnonzero(leads)
+    if len(starts) == len(tokens_at):  # every word is one token
+        return np.append(starts, len(text))
     heads = np.append(0, np.flatnonzero(np.frombuffer(flat, np.uint8) == 32) + 1)
     word = np.searchsorted(heads, tokens_at, side="right") - 1
     return np.append(starts[word] + tokens_at - heads[word], len(text))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+_KEPT_POWERS = 1 << 16
+
+
+@functools.cache
+def _first_powers(base: int) -> np.ndarray:
+    return _made_powers(base, _KEPT_POWERS)
+
+
+def _made_powers(base: int, n: int) -> np.ndarray:
     made = np.full(n, base, np.uint64)
     made[0] = 1
     return np.multiply.accumulate(made)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    return _first_powers(base)[:n] if n <= _KEPT_POWERS else _made_powers(base, n)
+
+
 def anchors(text: bytes, passage: int) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the windows of `passage` // 2 tokens that stand for their surroundings.
 
@@ -149,17 +191,22 @@ def anchors(text: bytes, passage: int) -> tuple[np.ndarray, np.ndarray]:
     if len(starts) < passage:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     size = passage // 2
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(
-        _BYTES[np.frombuffer(flat, np.uint8)] * _powers(_FACTOR, len(flat)), dtype=np.uint64)])
+    sums = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum(_BYTES[np.frombuffer(flat, np.uint8)] * _powers(_FACTOR, len(flat)), out=sums[1:])
     first, last = starts[:len(starts) - size + 1], ends[size - 1:]
     found = (sums[last] - sums[first]) * _powers(_INVERSE, len(flat))[first]
     found ^= found >> np.uint64(32)
     found *= np.uint64(0xD6E8FEB86659FD93)
     found ^= found >> np.uint64(32)
-    wide = np.lib.stride_tricks.sliding_window_view(found, passage - size + 1)
-    at = np.unique(np.concatenate([
+    # Each row is the one before moved by one window; smallest ones never go back.
+    span = passage - size + 1
+    wide = np.ndarray((len(found) - span + 1, span), np.uint64, found, strides=2 * found.strides)
+    at = np.concatenate([
         wide[k:k + 65536].argmin(axis=1) + np.arange(k, min(k + 65536, len(wide)))
-        for k in range(0, len(wide), 65536)]))
+        for k in range(0, len(wide), 65536)])
+    new = np.ones(len(at), bool)
+    np.not_equal(at[1:], at[:-1], out=new[1:])
+    at = at[new]
     return at, found[at]
 
 
@@ -381,22 +428,30 @@ def _without_spans(
         """Number of parts that lose text, and the text without the parts and passages that go."""
         flat, starts, _ = tokens(text)
         at = token_places(text, flat, starts)
-        stays = np.ones(len(text), bool)
         ends = np.cumsum([len(p) for p in parts])
-        for i in gone:
-            stays[ends[i] - len(parts[i]):ends[i]] = False
-        for k in places:
-            stays[at[k]:at[k + passage]] = False
-        touched = np.unique(np.searchsorted(ends, np.flatnonzero(~stays), side="right"))
-        return sum(bool(parts[i].split()) for i in touched), np.frombuffer(text, np.uint8)[stays].tobytes()
+        begins = np.append(0, ends[:-1])
+        whole, first = np.array(sorted(gone), np.int64), np.array(places, np.int64)
+        size = len(text) + 1
+        open_at = np.cumsum(
+            np.bincount(np.append(begins[whole], at[first]), minlength=size)
+            - np.bincount(np.append(ends[whole], at[first + passage]), minlength=size))[:-1]
+        stays = open_at == 0
+        lost = np.append(0, np.cumsum(~stays))
+        touched = np.flatnonzero(lost[ends] > lost[begins]).tolist()
+        return sum(not parts[i].isspace() for i in touched), np.frombuffer(text, np.uint8)[stays].tobytes()
 
     def rebuilt(texts: pa.Array, *lists: pa.Array) -> list[pa.Array]:
         n, removed, kept = [], [], []
         for text, own, places in zip(
                 utf8(texts), lists[0].to_pylist(),
                 lists[1].to_pylist() if passage is not None else [None] * len(texts)):
+            if not own and not places:
+                n.append(len(unit_words(text, most_words)))
+                removed.append(0)
+                kept.append(text)
+                continue
             parts = units(text, most_words)
-            worded = [i for i, p in enumerate(parts) if p.split()]
+            worded = [i for i, p in enumerate(parts) if not p.isspace()]
             gone = {worded[k] for a in own or () for k in range(a, min(a + span, len(worded)))}
             n.append(len(worded))
             if places:
@@ -405,7 +460,7 @@ def _without_spans(
                 kept.append(left)
                 continue
             removed.append(len(gone))
-            kept.append(b"".join(p for i, p in enumerate(parts) if i not in gone) if gone else text)
+            kept.append(b"".join(p for i, p in enumerate(parts) if i not in gone))
         return [pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                 pa.array(kept, pa.binary()).cast(pa.string())]
 

@@ -126,6 +126,30 @@ def test_registered_spans_query_equals_brute_force(spark, sf_dir):
     assert {r["doc_id"]: (r["n_removed"], r["kept_sha256"]) for r in got} == expected
 
 
+def test_words_of_short_sentences_are_not_cut_out_one_by_one(monkeypatch):
+    short = b"Fourteen words of which none has to be looked at by itself here, either.\n" * 3
+    long = b"word " * 40 + b"end. "
+    expected = [len(u.split()) for u in spans.units(short + long, 16)]
+    assert [len(w) for w in spans.unit_words(short + long, 16)] == expected == [14, 14, 14, 16, 16, 9]
+    monkeypatch.setattr(spans, "_WORD", None)
+    assert b"".join(spans.units(short, 16)) == short and len(spans.units(short, 16)) == 3
+    assert [len(w) for w in spans.unit_words(short + long, 16)] == expected
+
+
+@pytest.mark.parametrize("text", [
+    "", " \n ", "One. Two! Three?", "Pi is 3.14 (or 3.2.) so!) No.) x.y.z\nno stop\n\n last",
+    "a" * 65 + ". b", "a" * 64 + ". b", "世界。你好。" * 20 + " end.", "...\n.. . )\"'. x", "a.\x1cb.\x85 c."])
+def test_units_are_those_of_the_plain_expression(text):
+    raw, found = text.encode(), []
+    plain = re.compile(rb"[^\n]*?[.!?]+[)\]\"']*(?:\s+|\Z)|[^\n]*\n\s*|[^\n]+\Z")
+    if not spans._UNSPACED.search(raw) and "。" not in text:
+        assert spans._sentences(raw) == plain.findall(raw)
+    for most in (2, 16):
+        found = spans.units(raw, most)
+        assert b"".join(found) == raw
+        assert spans.unit_words(raw, most) == [w for p in found if (w := p.split())]
+
+
 def test_spans_store_one_row_a_document(spark, sf_dir, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     stored, written = [], spans.written
