@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
 
+#: Folders moved at a time.
+MOVERS = 8
+
+
 class Entry(NamedTuple):
     """A child of a folder; `modified` in milliseconds, where the storage keeps it."""
 
@@ -49,6 +54,28 @@ class Storage:
         if self.exists(target) or not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not rename {source} to {target}")
 
+    def move_folders(self, source: str, target: str, key: str, name: str) -> None:
+        """Move every partition folder `key=value` to `target/key=value/name`, and replace that.
+
+        Several at a time: most of a move is waiting for the storage.
+        """
+        found = self._fs.listStatus(self._path(source))
+
+        def move(i: int) -> None:
+            folder = found[i].getPath()
+            value = folder.getName()
+            if not value.startswith(f"{key}="):
+                return
+            place = self._path(f"{target}/{value}/{name}")
+            if not self._fs.delete(place, True):
+                self._fs.mkdirs(place.getParent())
+            if not self._fs.rename(folder, place):
+                raise OSError(f"could not rename {folder.toString()} to {place.toString()}")
+
+        with ThreadPoolExecutor(MOVERS) as movers:
+            for _ in movers.map(move, range(len(found))):
+                pass
+
     def remove(self, path: str) -> bool:
         return self._fs.delete(self._path(path), True)
 

@@ -21,9 +21,10 @@ from lumentide.sources.evolution import (
 )
 from lumentide.sources.files import Storage
 from lumentide.sources.landed import ALL_AGES
-from lumentide.sources.layout import laid_out
+from lumentide.sources.layout import laid_out, partition_folder, read_folders
 
 INTENTS, ASIDE = "_compactions", "_compacting-"
+DELIVERING = "_delivering-"
 
 
 def _without_batch(schema: T.StructType) -> T.StructType:
@@ -40,13 +41,20 @@ def write_batch(events: DataFrame, path: str, batch: str) -> None:
 
     Columns the table doesn't have yet are added to its schema, types widened. The files
     keep the writer's types; readers ask for the table's.
+
+    The days are written to a hidden folder and, when all are complete, moved in one by one,
+    several at a time. Spark's own dynamic overwrite does that one after the other.
     """
-    record_schema(events.sparkSession, path, _without_batch(events.schema))
-    (
-        laid_out(events, "event_date", RAW_CLUSTERING).withColumn("batch", F.lit(batch))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch").parquet(path)
-    )
+    spark, path = events.sparkSession, path.rstrip("/")
+    record_schema(spark, path, _without_batch(events.schema))
+    storage, aside = Storage(spark, path), f"{path}/{DELIVERING}{uuid.uuid4().hex}"
+    try:
+        laid_out(events.drop("batch"), "event_date", RAW_CLUSTERING).write.partitionBy(
+            "event_date").parquet(aside)
+        storage.move_folders(aside, path, "event_date", partition_folder("batch", batch))
+    finally:
+        storage.remove(aside)
+        spark.catalog.refreshByPath(path)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +64,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     left out, so every row is read once.
     """
     schema = table_schema(spark, path)
-    rows = spark.read.schema(schema).parquet(path)
+    rows = read_folders(spark, path, schema)
     hidden = [(day, name.partition("=")[2]) for intent in _intents(spark, path).values()
               for day, batches in intent.replaced(Storage(spark, path), path)
               for name in batches]
